@@ -14,6 +14,28 @@ def least_first(count: Column, value: Column) -> Column:
     return F.min(F.struct((-count).alias("n"), value.alias("v")))["v"]
 
 
+def modal_int(count: Column, value: Column) -> Column:
+    """Aggregate: the same for an integer value, packed with its count into one long.
+
+    A fixed-width buffer keeps the aggregation hash-based and compiled.
+    """
+    packed = F.min(F.when(value.isNotNull(), F.shiftleft(-count.cast("long"), 32) + value.cast("long") + 2147483648))
+    return (packed.bitwiseAND(F.lit(4294967295)) - 2147483648).cast("int")
+
+
+def largest_label(totals: dict[str, Column]) -> Column:
+    """Label with the largest total among a known, short list; ties go to the smallest label.
+
+    A label whose total is NULL does not take part.
+    """
+    labels = sorted(totals)
+    top = F.greatest(*[totals[label] for label in labels])
+    chosen = None
+    for label in labels:
+        chosen = (F if chosen is None else chosen).when(totals[label] == top, F.lit(label))
+    return chosen
+
+
 def modal_values(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Most frequent value per key for several columns of one type; ties go to the smallest.
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tenderline import catalog
 from tenderline.functions.scalars import at_least_zero, composite_key, flag, one_less_ratio, ratio
+from tenderline.operators.aggregates import largest_label, modal_int
 from tenderline.operators.shares import centred
 from tenderline.plans.profile import PROFILE_COLUMNS
 from tenderline.plans.tables import clean_bids
@@ -32,36 +33,65 @@ WEEKLY_SUMS: dict[str, Callable[[], Column]] = {
 SUMS = list(WEEKLY_SUMS)
 
 
-def line_cells(lines: DataFrame) -> DataFrame:
-    """Lines combined to (bid, product, competitor, tier).
+KNOWN_COMPETITORS = (catalog.OTHER_COMPETITOR, catalog.WATCHED_COMPETITOR)
 
-    This is the only pass over the lines. A bid is left with products x competitors x tiers
-    rows at most, so everything after it can work within the bid, hot bids included.
+
+def _competitor_sums(labels: tuple[str, ...], name: str, add: Callable[[Column], Column]) -> dict[str, Column]:
+    """Revenue per known competitor label; NULL for a label that does not occur."""
+    return {label: add(F.when(F.col(name) == label, F.col("list_rev"))) for label in labels}
+
+
+def line_cells(lines: DataFrame, by: tuple[str, ...] = ("tier",)) -> DataFrame:
+    """Lines combined to (bid, product, tier).
+
+    This is the only pass over the lines. A bid is left with products x tiers rows at most, so
+    everything after it can work within the bid, hot bids included.
     """
-    return (
-        lines.where(F.col("product").isNotNull())
-        .groupBy("bid_id", "product", "competitor", "tier")
-        .agg(*[F.sum(value()).alias(name) for name, value in WEEKLY_SUMS.items()], F.count("tier").alias("tier_lines"))
+    values = lines.where(F.col("product").isNotNull()).select(
+        "bid_id", "product", "competitor", "tier", *[value().alias(name) for name, value in WEEKLY_SUMS.items()]
+    )
+    per_label = [] if "competitor" in by else [
+        column.alias(f"__{label}") for label, column in _competitor_sums(KNOWN_COMPETITORS, "competitor", F.sum).items()
+    ]
+    return values.groupBy("bid_id", "product", *by).agg(
+        *[F.sum(name).alias(name) for name in SUMS], *per_label, F.count("tier").alias("tier_lines")
     )
 
 
-def product_sums(lines: DataFrame) -> DataFrame:
+def product_sums(lines: DataFrame, any_competitor: bool = False) -> DataFrame:
     """Weekly sums, major competitor and modal tier per (bid, product).
 
-    The cells are placed by bid once; the windows and the aggregation below, and all later
-    work keyed by bid, then need no further exchange.
+    The cells are placed by bid once; the aggregation below, and all later work keyed by bid,
+    then need no further exchange. Competitors are the two labels that ``bid_lines`` gives;
+    with ``any_competitor`` the labels are open and ranked by a two-level argmax.
     """
+    by = ["bid_id", "product"]
+    if any_competitor:
+        return _product_sums_open(lines)
     cells = line_cells(lines).repartition("bid_id")
+    return (
+        cells.groupBy(*by)
+        .agg(
+            *[F.sum(name).alias(name) for name in SUMS],
+            *[F.sum(f"__{label}").alias(f"__{label}") for label in KNOWN_COMPETITORS],
+            modal_int(F.col("tier_lines"), F.col("tier")).alias("tier"),
+        )
+        .withColumn("major_competitor", largest_label({label: F.col(f"__{label}") for label in KNOWN_COMPETITORS}))
+        .drop(*[f"__{label}" for label in KNOWN_COMPETITORS])
+    )
+
+
+def _product_sums_open(lines: DataFrame) -> DataFrame:
     by = ["bid_id", "product"]
+    cells = line_cells(lines, ("competitor", "tier")).repartition("bid_id")
     ranked = cells.withColumn("competitor_rev", F.sum("list_rev").over(Window.partitionBy(*by, "competitor"))).withColumn(
         "tier_total", F.sum("tier_lines").over(Window.partitionBy(*by, "tier"))
     )
     major = F.expr("min(struct(-competitor_rev AS n, competitor AS v)) FILTER (WHERE competitor_rev IS NOT NULL AND competitor IS NOT NULL)")
-    modal = F.expr("min(struct(-tier_total AS n, tier AS v)) FILTER (WHERE tier IS NOT NULL)")
     return ranked.groupBy(*by).agg(
         *[F.sum(name).alias(name) for name in SUMS],
+        modal_int(F.col("tier_total"), F.col("tier")).alias("tier"),
         major["v"].alias("major_competitor"),
-        modal["v"].alias("tier"),
     )
 
 
@@ -156,17 +186,21 @@ def _bid_flags(sums: DataFrame) -> DataFrame:
     )
 
 
-def bid_summary(products: DataFrame, bids: DataFrame | None = None) -> DataFrame:
+def bid_summary(products: DataFrame, bids: DataFrame | None = None, any_competitor: bool = False) -> DataFrame:
     """One row per bid: sums over products, shares, concentration, major competitor and flags."""
-    ranked = products.withColumn("competitor_rev", F.sum("list_rev").over(Window.partitionBy("bid_id", "major_competitor")))
-    major = F.expr("min(struct(-competitor_rev AS n, major_competitor AS v)) FILTER (WHERE competitor_rev IS NOT NULL AND major_competitor IS NOT NULL)")
-    sums = ranked.groupBy("bid_id").agg(
+    rows = products
+    if any_competitor:
+        rows = rows.withColumn("competitor_rev", F.sum("list_rev").over(Window.partitionBy("bid_id", "major_competitor")))
+        major = F.expr("min(struct(-competitor_rev AS n, major_competitor AS v)) FILTER (WHERE competitor_rev IS NOT NULL AND major_competitor IS NOT NULL)")["v"]
+    else:
+        major = largest_label(_competitor_sums(KNOWN_COMPETITORS, "major_competitor", F.sum))
+    sums = rows.groupBy("bid_id").agg(
         *[F.sum(name).alias(name) for name in _BID_SUMS],
         *[column.alias(name) for name, column in _bid_shares(F.sum).items()],
-        major["v"].alias("major_competitor"),
+        major.alias("major_competitor"),
     )
-    rows = _bid_flags(_ratios(sums))
-    return rows if bids is None else rows.join(clean_bids(bids), "bid_id", "left")
+    summary = _bid_flags(_ratios(sums))
+    return summary if bids is None else summary.join(clean_bids(bids), "bid_id", "left")
 
 
 def prior_or_zero(prior: str, reason: str) -> Column:
@@ -193,16 +227,14 @@ def feature_table(lines: DataFrame, bids: DataFrame, profile: DataFrame | None =
         return F.sum(value).over(bid)
 
     product_columns = [name for name in products.columns if name not in ("bid_list_rev", "density_rev")]
-    competitor_rev = F.sum("list_rev").over(Window.partitionBy("bid_id", "major_competitor"))
-    best = F.when(
-        F.col("competitor_rev").isNotNull() & F.col("major_competitor").isNotNull(),
-        F.struct((-F.col("competitor_rev")).alias("n"), F.col("major_competitor").alias("v")),
-    )
-    sums = products.withColumn("competitor_rev", competitor_rev).select(
+    sums = products.select(
         "bid_id", F.struct(*product_columns).alias("p"),
         *[over_bid(F.col(name)).alias(name) for name in _BID_SUMS],
         *[column.alias(name) for name, column in _bid_shares(over_bid).items()],
-        F.min(best).over(bid)["v"].alias("major_competitor"),
+        *[column.alias(f"__{label}") for label, column in _competitor_sums(KNOWN_COMPETITORS, "major_competitor", over_bid).items()],
+    )
+    sums = sums.withColumn("major_competitor", largest_label({label: F.col(f"__{label}") for label in KNOWN_COMPETITORS})).drop(
+        *[f"__{label}" for label in KNOWN_COMPETITORS]
     )
     ratios = _bid_flags(_ratios(sums))
     bid_columns = [name for name in ratios.columns if name not in ("bid_id", "p")]

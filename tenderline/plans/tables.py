@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tenderline import catalog
 from tenderline.functions.scalars import code_label, if_zero, not_listed
-from tenderline.operators.aggregates import modal_values, top_label
+from tenderline.operators.aggregates import modal_int, modal_values, top_label
 from tenderline.operators.joins import except_listed, lookup
 
 SERVICE_KEYS = ["direction", "svc_type", "feature"]
@@ -27,7 +27,7 @@ def shipper_rollup(shipper_volumes: DataFrame) -> DataFrame:
         F.sum(qty * F.col("prior_net_pp")).alias("net"),
         F.count(F.lit(1)).alias("n"),
     )
-    modal = F.expr("min(struct(-n AS n, tier AS v)) FILTER (WHERE tier IS NOT NULL)")["v"]
+    modal = modal_int(F.col("n"), F.col("tier"))
     return per_tier.groupBy("bid_id", "svc_group").agg(
         F.sum("gross").alias("prior_gross"), F.sum("net").alias("prior_net"), modal.alias("tier")
     )
