@@ -30,3 +30,13 @@ def respond(rows: DataFrame) -> DataFrame:
 
 def gap(rows: DataFrame) -> DataFrame:
     return rows.withColumn("gap", 0.05 - 0.5 * F.col("gross_cost_ratio"))
+
+
+def calibration_rows(features: DataFrame) -> DataFrame:
+    """Labels of past bids: pull-through, incentive in force, effective-to-offered gap."""
+    won = F.col("bid_win_flag_updated") == "1"
+    return (
+        features.withColumn("pull_through", F.when(won, 0.75 + 0.25 * F.col("product_share")).otherwise(0.5 * F.col("product_share")))
+        .withColumn("overall_incentive", 0.1 + 0.5 * F.col("gross_cost_ratio") + 0.1 * F.col("product_share"))
+        .withColumn("gap_label", -0.05 - 0.1 * F.col("gross_cost_ratio"))
+    )
