@@ -66,7 +66,7 @@ def range_lookup(
         joined = facts.join(F.broadcast(renamed), reduce(Column.__and__, match + [within]), how)
         return joined.drop(*[f"__{c}" for c in on])
     salted = facts.withColumn("__salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)))
-    spread = renamed.withColumn("__band_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    spread = renamed.withColumn("__band_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     match = [salted[c] == spread[f"__{c}"] for c in on] + [salted["__salt"] == spread["__band_salt"]]
     top = F.coalesce(spread[high], F.lit(float("inf")))
     within = _inside(salted[value], spread[low], top, closed)
