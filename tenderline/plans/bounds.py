@@ -21,7 +21,7 @@ def add_ceiling(rows: DataFrame, bands: DataFrame, omit: bool = False, as_coded:
     ).drop("min_rev", "max_rev")
 
 
-def retained_prior(rows: DataFrame) -> Column:
+def retained_prior() -> Column:
     """Lower bound from the prior incentive.
 
     Retention bids may fall below it by the mode's slack, others not; none without a prior;
@@ -54,17 +54,17 @@ def add_bounds(rows: DataFrame) -> DataFrame:
     def setting(name: str) -> Column:
         return catalog.by_mode(mode, name)
 
-    bounded = (
-        rows.withColumn("prior_slack", setting("prior_slack"))
-        .withColumn("l_floor", setting("floor"))
-        .withColumn("u_mkt_price", F.coalesce(setting("u_price") * (1.0 - market) - 1.0, F.lit(0.0)))
-        .withColumn("u_incentive", F.lit(-1.0))
-        .withColumn("u_mkt_inc", F.coalesce(setting("u_market") * market, F.lit(-1.0)))
-        .withColumn("u_ceiling", F.coalesce(-c("ceiling"), F.lit(0.0)))
-        .withColumn("l_prior", retained_prior(rows))
-        .withColumn("l_mkt_price", F.when(unknown, 0.0).otherwise(setting("l_price") * (1.0 - market) + 1.0))
-        .withColumn("l_mkt_inc", F.when(unknown, 0.0).otherwise(setting("l_market") * market))
-    )
+    bounded = rows.withColumns({
+        "prior_slack": setting("prior_slack"),
+        "l_floor": setting("floor"),
+        "u_mkt_price": F.coalesce(setting("u_price") * (1.0 - market) - 1.0, F.lit(0.0)),
+        "u_incentive": F.lit(-1.0),
+        "u_mkt_inc": F.coalesce(setting("u_market") * market, F.lit(-1.0)),
+        "u_ceiling": F.coalesce(-c("ceiling"), F.lit(0.0)),
+        "l_prior": retained_prior(),
+        "l_mkt_price": F.when(unknown, 0.0).otherwise(setting("l_price") * (1.0 - market) + 1.0),
+        "l_mkt_inc": F.when(unknown, 0.0).otherwise(setting("l_market") * market),
+    })
     # Names of the bounds, in the order that decides ties
     upper, upper_name = largest_named(
         [("u_MktPR", c("u_mkt_price")), ("u_Incentive", c("u_incentive")), ("u_MktInc", c("u_mkt_inc")), ("u_Ceiling", c("u_ceiling"))]
@@ -75,14 +75,17 @@ def add_bounds(rows: DataFrame) -> DataFrame:
     feasible = c("feasible")
     reset = F.lit("Resetinfeasible")
     top = F.when(feasible, c("upper")).otherwise(0.999)
+    limits = ["u_mkt_price", "u_incentive", "u_mkt_inc", "u_ceiling", "l_prior", "l_mkt_price", "l_mkt_inc"]
     return (
-        bounded.withColumn("upper", -upper).withColumn("lower", lower)
+        bounded.withColumns({"upper": -upper, "lower": lower, "upper_name": upper_name, "lower_name": lower_name})
         .withColumn("feasible", c("lower") < c("upper"))
-        .withColumn("upper_name", F.when(feasible, upper_name).otherwise(reset))
-        .withColumn("lower_name", F.when(feasible, lower_name).otherwise(reset))
-        .withColumn("lower", F.when(feasible, c("lower")).otherwise(c("l_floor") + 0.001))
-        .withColumn("upper", F.when(F.abs(top - 1.0) < 0.000001, 0.999).otherwise(top))
-        .drop("u_mkt_price", "u_incentive", "u_mkt_inc", "u_ceiling", "l_prior", "l_mkt_price", "l_mkt_inc")
+        .withColumns({
+            "upper_name": F.when(feasible, c("upper_name")).otherwise(reset),
+            "lower_name": F.when(feasible, c("lower_name")).otherwise(reset),
+            "lower": F.when(feasible, c("lower")).otherwise(c("l_floor") + 0.001),
+            "upper": F.when(F.abs(top - 1.0) < 0.000001, 0.999).otherwise(top),
+        })
+        .drop(*limits)
     )
 
 

@@ -98,15 +98,16 @@ def _product_sums_open(lines: DataFrame) -> DataFrame:
 def _ratios(sums: DataFrame) -> DataFrame:
     """Ratios and flags shared by the product and the bid grain."""
     c = F.col
-    return (
-        sums.withColumn("watched_share", ratio(c("watched_rev"), c("list_rev")))
-        .withColumn("prior_incentive", one_less_ratio(c("prior_net_rev"), c("prior_gross_rev")))
-        .withColumn("new_volume_share", at_least_zero(one_less_ratio(c("prior_volume"), c("volume"))))
-        .withColumn("gross_cost_ratio", ratio(c("marg_cost"), c("list_rev")))
-        .withColumn("freight_share", ratio(c("freight_rev"), c("list_rev")))
-        .withColumn("mostly_watched", flag(c("watched_share") > 0.95))
-        .withColumn("mostly_third_party", flag(c("watched_share") < 0.2))
-    )
+    return sums.withColumns({
+        "watched_share": ratio(c("watched_rev"), c("list_rev")),
+        "prior_incentive": one_less_ratio(c("prior_net_rev"), c("prior_gross_rev")),
+        "new_volume_share": at_least_zero(one_less_ratio(c("prior_volume"), c("volume"))),
+        "gross_cost_ratio": ratio(c("marg_cost"), c("list_rev")),
+        "freight_share": ratio(c("freight_rev"), c("list_rev")),
+    }).withColumns({
+        "mostly_watched": flag(c("watched_share") > 0.95),
+        "mostly_third_party": flag(c("watched_share") < 0.2),
+    })
 
 
 def product_summary(lines: DataFrame, as_coded: bool = False) -> DataFrame:
@@ -121,19 +122,11 @@ def product_summary(lines: DataFrame, as_coded: bool = False) -> DataFrame:
         rows = rows.crossJoin(F.broadcast(overall)).withColumn("freight_share_centred", c("freight_share") - c("__mean")).drop("__mean")
     else:
         rows = rows.withColumn("freight_share_centred", centred(c("freight_share"), "bid_id"))
-    keyed = c("comp_keyed_flag") == 1
-    rows = (
-        rows.withColumn("target_high_inc", one_less_ratio(c("target_high_rev"), c("freight_rev")))
-        .withColumn("target_low_inc", one_less_ratio(c("target_low_rev"), c("freight_rev")))
-        .withColumn("density", ratio(c("density_rev"), c("list_rev")))
-        .withColumn("comp_incentive", at_least_zero(one_less_ratio(c("comp_net_rev"), c("freight_rev"))))
-        .withColumn("comp_keyed_flag", flag(c("comp_keyed_rev") > 0))
-        .withColumn("comp_keyed_incentive", F.when(keyed, at_least_zero(one_less_ratio(c("comp_keyed_rev"), c("freight_rev")))))
-        .withColumn("bid_list_rev", F.sum("list_rev").over(bid))
-    )
-    for family, members in families.items():
-        in_family = F.when(product.isin(members), c("list_rev")).otherwise(0.0)
-        rows = rows.withColumn(f"{family}_list_rev", F.sum(in_family).over(bid))
+    keyed = c("comp_keyed_rev") > 0
+    family_totals = {
+        f"{family}_list_rev": F.sum(F.when(product.isin(members), c("list_rev")).otherwise(0.0)).over(bid)
+        for family, members in families.items()
+    }
     family_rev = F.when(product.isin(catalog.GROUND_FAMILY), c("ground_list_rev")).when(
         product.isin(catalog.AIR_FAMILY), c("air_list_rev")
     )
@@ -141,12 +134,21 @@ def product_summary(lines: DataFrame, as_coded: bool = False) -> DataFrame:
         family_rev = family_rev.otherwise(c("trade_list_rev"))
     else:
         family_rev = family_rev.when(product.isin(catalog.TRADE_FAMILY), c("trade_list_rev"))
-    return (
-        rows.withColumn("product_share", ratio(c("list_rev"), c("bid_list_rev")))
-        .withColumn("family_share", ratio(c("list_rev"), family_rev))
-        .withColumn("mode", catalog.product_mode(product))
-        .withColumn("bid_product", composite_key(c("bid_id"), product))
-    )
+    return rows.withColumns({
+        "target_high_inc": one_less_ratio(c("target_high_rev"), c("freight_rev")),
+        "target_low_inc": one_less_ratio(c("target_low_rev"), c("freight_rev")),
+        "density": ratio(c("density_rev"), c("list_rev")),
+        "comp_incentive": at_least_zero(one_less_ratio(c("comp_net_rev"), c("freight_rev"))),
+        "comp_keyed_flag": flag(keyed),
+        "comp_keyed_incentive": F.when(keyed, at_least_zero(one_less_ratio(c("comp_keyed_rev"), c("freight_rev")))),
+        "bid_list_rev": F.sum("list_rev").over(bid),
+        **family_totals,
+    }).withColumns({
+        "product_share": ratio(c("list_rev"), c("bid_list_rev")),
+        "family_share": ratio(c("list_rev"), family_rev),
+        "mode": catalog.product_mode(product),
+        "bid_product": composite_key(c("bid_id"), product),
+    })
 
 
 _BID_SUMS = [name for name in SUMS if name != "density_rev"]
@@ -173,17 +175,17 @@ def _bid_flags(sums: DataFrame) -> DataFrame:
     c = F.col
     new = c("new_volume_share")
     keyed, est = c("comp_keyed_rev"), c("comp_est_rev")
-    return (
-        sums.withColumn("volume_reason", F.when(new > 0.6, "CONVERSION_Prod").when(new <= 0.2, "RETENTION_Prod").otherwise("PENETRATION_Prod"))
-        .withColumn("ground_centric", flag(c("ground_share") > 0.8))
-        .withColumn("air_centric", flag(c("air_share") > 0.6))
-        .withColumn("residential_centric", flag(c("residential_share") > 0.6))
-        .withColumn("trade_centric", flag(c("trade_share") > 0.4))
-        .withColumn("keyed_flag", F.when(keyed.isNull(), 0).when((keyed == 0) & (est > 1), 0).otherwise(1))
-        .withColumn("keyed_higher", flag(keyed > est * 1.2))
-        .withColumn("keyed_lower", flag(keyed < est * 0.8))
-        .withColumn("below_200", flag(c("list_rev") < 200))
-    )
+    return sums.withColumns({
+        "volume_reason": F.when(new > 0.6, "CONVERSION_Prod").when(new <= 0.2, "RETENTION_Prod").otherwise("PENETRATION_Prod"),
+        "ground_centric": flag(c("ground_share") > 0.8),
+        "air_centric": flag(c("air_share") > 0.6),
+        "residential_centric": flag(c("residential_share") > 0.6),
+        "trade_centric": flag(c("trade_share") > 0.4),
+        "keyed_flag": F.when(keyed.isNull(), 0).when((keyed == 0) & (est > 1), 0).otherwise(1),
+        "keyed_higher": flag(keyed > est * 1.2),
+        "keyed_lower": flag(keyed < est * 0.8),
+        "below_200": flag(c("list_rev") < 200),
+    })
 
 
 def bid_summary(products: DataFrame, bids: DataFrame | None = None, any_competitor: bool = False) -> DataFrame:
@@ -245,14 +247,9 @@ def feature_table(lines: DataFrame, bids: DataFrame, profile: DataFrame | None =
         joined = joined.join(profile, ["bid_id", "product"], "left")
     else:
         joined = joined.select("*", *[F.lit(None).cast("double").alias(name) for name in PROFILE_COLUMNS])
-    return (
-        joined.withColumn("prior_incentive", prior_or_zero("prior_incentive", "bid_reason"))
-        .withColumn("bid_history_count", F.lit("1"))
-        .withColumn("bid_overall_incentive", F.lit(1.0))
-        .withColumn("bid_freight_incentive", F.lit(1.0))
-        .withColumn("overall_incentive", F.lit(1.0))
-        .withColumn("freight_incentive", F.lit(1.0))
-        .withColumn("offered_rev", F.lit(1.0))
-        .withColumn("actual_rev", F.lit(1.0))
-        .withColumn("actual_volume", F.lit(1.0))
-    )
+    placeholders = ["bid_overall_incentive", "bid_freight_incentive", "overall_incentive", "freight_incentive", "offered_rev", "actual_rev", "actual_volume"]
+    return joined.withColumns({
+        "prior_incentive": prior_or_zero("prior_incentive", "bid_reason"),
+        "bid_history_count": F.lit("1"),
+        **{name: F.lit(1.0) for name in placeholders},
+    })

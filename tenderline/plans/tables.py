@@ -85,10 +85,12 @@ def bid_lines(
     lines = (
         groups.join(latest_targets(target_prices), ["bid_id", "svc_group"], "left")
         .join(rollup, ["bid_id", "svc_group"], "left")
-        .withColumn("competitor", label)
-        .withColumn("comp_net_pp", if_zero(F.col("comp_keyed_pp"), F.col("comp_est_pp")))
-        .withColumn("prior_gross_rev", F.col("prior_gross") / F.lit(13.0))
-        .withColumn("prior_net_rev", F.col("prior_net") / F.lit(13.0))
+        .withColumns({
+            "competitor": label,
+            "comp_net_pp": if_zero(F.col("comp_keyed_pp"), F.col("comp_est_pp")),
+            "prior_gross_rev": F.col("prior_gross") / F.lit(13.0),
+            "prior_net_rev": F.col("prior_net") / F.lit(13.0),
+        })
         .drop("prior_gross", "prior_net")
     )
     if as_coded:
@@ -121,13 +123,10 @@ def clean_bids(headers: DataFrame, as_of: str | None = None) -> DataFrame:
     lag = F.datediff(F.col(as_of or "status_date"), F.col("proposed_date"))
     updated = F.when((F.col("status") == "P") & (F.col("proposed_lag") > catalog.REJECT_AFTER_DAYS), "R").otherwise(F.col("status"))
     reason = code_label(F.col("reason_code").cast("string").try_cast("double").cast("int"), catalog.REASON_LABELS, "Other")
-    return (
-        headers.withColumn("proposed_lag", lag)
-        .withColumn("status_updated", updated)
-        .withColumn("proposal_flag", F.coalesce((F.col("status") == "P").cast("int"), F.lit(0)))
-        .withColumn("win_flag", code_label(F.col("status"), catalog.WIN_FLAGS, "Unclassified"))
-        .withColumn("win_flag_updated", code_label(F.col("status_updated"), catalog.WIN_FLAGS, "Unclassified"))
-        .withColumn("reason", reason)
-        .withColumn("weeks_since_init", F.datediff("status_date", "init_date") / F.lit(7.0))
-        .withColumn("month_of_bid", F.month("init_date"))
-    )
+    return headers.withColumns({"proposed_lag": lag, "reason": reason}).withColumns({
+        "status_updated": updated,
+        "proposal_flag": F.coalesce((F.col("status") == "P").cast("int"), F.lit(0)),
+        "win_flag": code_label(F.col("status"), catalog.WIN_FLAGS, "Unclassified"),
+        "weeks_since_init": F.datediff("status_date", "init_date") / F.lit(7.0),
+        "month_of_bid": F.month("init_date"),
+    }).withColumn("win_flag_updated", code_label(F.col("status_updated"), catalog.WIN_FLAGS, "Unclassified"))

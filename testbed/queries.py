@@ -406,19 +406,19 @@ def optimum_on_coarse_grid(t):
 
 REGISTRY["optimum_on_coarse_grid"] = (lambda spark, d: optimum_on_coarse_grid(Tables(spark, d)), _search_check(20))
 
-_GRID = S.grid(200)
 REGISTRY["optimum_of_single_products"] = (
     lambda spark, d: single_products(Tables(spark, d)),
     S.with_tables("SELECT 1 FROM s_caps").rsplit("\n", 1)[0] + f""",
-grid AS ({_GRID}), best AS (SELECT bid_id, product, arg_max(k, (v, k)) AS k FROM grid WHERE mode <> 'AIR' GROUP BY 1, 2)
+single AS (SELECT * FROM s_caps QUALIFY mode <> 'AIR' OR count(*) OVER (PARTITION BY bid_id, mode) = 1),
+grid AS ({S.grid(200, "single")}), best AS (SELECT bid_id, product, arg_max(k, (v, k)) AS k FROM grid GROUP BY 1, 2)
 SELECT c.bid_id, c.product, round(CASE WHEN feasible THEN lower + (cap - lower) * best.k / 200.0::DOUBLE
   WHEN market_inc IS NOT NULL THEN least(greatest(market_inc, l_floor), ceiling) END, 6) AS optimal_inc
-FROM s_caps c JOIN best ON best.bid_id = c.bid_id AND best.product = c.product WHERE c.mode <> 'AIR'""",
+FROM single c JOIN best ON best.bid_id = c.bid_id AND best.product = c.product""",
 )
 
 
 def single_products(t: Tables) -> DataFrame:
-    rows = optimise.optimise(bounded(t).where("mode <> 'AIR'"))
+    rows = optimise.optimise(bounded(t)).where("NOT laddered")
     return rows.select("bid_id", "product", F.round("optimal_inc", 6).alias("optimal_inc"))
 
 
@@ -620,10 +620,10 @@ def scoring_status(t):
 
 @query(f"""SELECT bid_id, description || ': Inc - ' || CASE surcharge_type WHEN 'RES' THEN resi WHEN 'GDL' THEN das END AS line FROM (SELECT DISTINCT bid_id, description, surcharge_type, resi, das FROM ({_QUOTES}) WHERE mode = 'ACY')
 UNION ALL SELECT bid_id, product || ': Inc - ' || i || ', Low - ' || l || ', High - ' || h FROM (SELECT DISTINCT bid_id, product, ceiling AS i, min_rev AS l, max_rev AS h
-  FROM (SELECT s.bid_id, s.product, b.* EXCLUDE (product) FROM s_bounds s JOIN t_bands b ON b.product = s.product AND s.bid_list_rev > b.min_rev AND s.bid_list_rev <= b.max_rev) WHERE max_rev < 9999999)""")
+  FROM (SELECT s.bid_id, s.product, b.* EXCLUDE (product) FROM s_bounds s JOIN t_bands b ON b.product = s.product AND s.bid_list_rev > b.min_rev AND s.bid_list_rev <= b.max_rev))""")
 def report_lines(t):
     surcharges = quote_rows(t).where(F.col("mode") == catalog.SURCHARGE_MODE)
-    banded = J.range_lookup(bounded(t).drop("ceiling"), t.bands, ["product"], "bid_list_rev", "min_rev", "max_rev").where("max_rev < 9999999")
+    banded = J.range_lookup(bounded(t).drop("ceiling"), t.bands, ["product"], "bid_list_rev", "min_rev", "max_rev")
     product_rows = banded.select("bid_id", "product", "mode", F.col("ceiling").alias("freight_incentive"), F.col("min_rev").alias("target_low"), F.col("max_rev").alias("target_high"))
     return publish.report_lines(A.stacked([surcharges, product_rows]))
 
@@ -639,15 +639,14 @@ def scored_bids(t):
     return scored.select("bid_id", "product", "mode", "direction", "svc_type", "feature", F.round("freight_incentive", 6).alias("freight_incentive"), "resi", "das")
 
 
-@query(f"SELECT x.bid_id, count(*) AS quotes, min(mode) AS first_mode, max(mode) AS last_mode FROM ({_QUOTES}) x JOIN (SELECT bid_id FROM t_bids WHERE status = 'P') USING (bid_id) GROUP BY 1")
+@query(f"SELECT x.bid_id, count(*) AS quotes, min(mode) AS first_mode, max(mode) AS last_mode FROM ({_QUOTES}) x GROUP BY 1")
 def streamed_requests(t):
-    """Requests (product rows of open bids) arrive as files, are scored by micro-batch, and the
+    """Requests (product rows of all bids) arrive as files, are scored by micro-batch, and the
     responses are read back: the same rows as the batch plan gives."""
     from tenderline.streaming import requests as R
 
-    open_bids = t.bids.where("status = 'P'").select("bid_id")
     folder, out, bad = (run_folder(t.spark, n) for n in ("requests", "responses", "rejects"))
-    J.only_listed(marked(t), open_bids, ["bid_id"]).write.parquet(folder)
+    marked(t).write.parquet(folder)
     schema = t.spark.read.parquet(folder).schema
 
     def score_one(rows: DataFrame) -> DataFrame:
@@ -711,7 +710,7 @@ def bid_matrix(rows: DataFrame) -> DataFrame:
 def base_pull_through(t):
     from tenderline.models import pricing
 
-    rows = calibration(t).where("mode = 'AIR'")
+    rows = calibration(t)
     matrix = bid_matrix(rows)
     fitted = pricing.fit_base(rows, matrix, trees=4, depth=3)
     return pricing.predict_base(rows, matrix, fitted).select("bid_id", "product", F.round("base_pt", 6).alias("base_pt"), F.round("base_logit", 6).alias("base_logit"))
