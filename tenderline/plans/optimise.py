@@ -102,7 +102,9 @@ def add_ladder(rows: DataFrame, strict: bool = True, as_coded: bool = False, gro
     )
 
 
-_NUMBERS = ["market_inc", "alpha", "gamma", "list_rev", "marg_cost", "price_discipline", "volume_weight", "lower", "upper", "cap", "rank", "ratio", "laddered", "valid"]
+_NUMBERS = [
+    "market_inc", "alpha", "gamma", "list_rev", "marg_cost", "price_discipline", "volume_weight", "lower", "upper", "feasible", "l_floor", "ceiling",
+]
 
 
 def row_objective(x: str) -> Column:
@@ -113,21 +115,22 @@ def optimise(rows: DataFrame, points: int = GRID, strict: bool = True, as_coded:
     """Add the optimal incentive and what it yields to bounded rows.
 
     ``rows`` is one row per (group, product) with bounds, response, weights and market
-    incentive. It feeds both branches and the result, so it is written once to the shared
-    folder; the search itself sees only the numbers it needs. ``current`` names an incentive
-    column to evaluate alongside.
+    incentive. It feeds the search and the result, so it is written once to the shared folder.
+    Ladder, search and flags see only the numbers they need, and the wide rows are joined to
+    the outcome once. ``current`` names an incentive column to evaluate alongside.
     """
     group_keys = list(group)
     keys = [*group_keys, "product"]
-    ready = materialise(add_ladder(rows, strict, as_coded, group), "bounded")
-    numbers = ready.select(*keys, *_NUMBERS).where("valid AND NOT price_discipline = 1")
+    ready = materialise(rows, "bounded")
+    ladder = add_ladder(ready.select(*keys, "mode", *_NUMBERS), strict, as_coded, group)
+    narrow = materialise(ladder, "ladder")
+    numbers = narrow.where("valid AND NOT price_discipline = 1")
     alone = best_alone(numbers.where("NOT laddered"), keys, row_objective, points)
     tied = numbers.where("laddered").repartition(*group_keys)
-    ranks = ready.where("laddered").select(*keys, "rank")
+    ranks = narrow.where("laddered").select(*keys, "rank")
     chained = best_on_ladder(tied, group_keys, row_objective, points).join(ranks, [*group_keys, "rank"]).select(*keys, "best_k")
-    narrow = ready.select(*keys, *_NUMBERS, "mode", "feasible", "l_floor", "ceiling")
-    best = optimum_of(narrow, alone.unionByName(chained), points, group_keys)
-    return results_at_optimum(ready.join(best, keys), current)
+    optimum = optimum_of(narrow, alone.unionByName(chained), points, group_keys)
+    return results_at_optimum(ready.join(optimum, keys), current)
 
 
 def optimum_of(rows: DataFrame, best: DataFrame, points: int, group: list[str]) -> DataFrame:
@@ -154,7 +157,7 @@ def optimum_of(rows: DataFrame, best: DataFrame, points: int, group: list[str])
         .withColumn("lower_binds", flag(c("optimal_inc") - c("lower") < 1e-5))
         .withColumn("ladder_binds", binds)
         .withColumn("ladder_binds", F.sum("ladder_binds").over(whole).cast("int"))
-        .select(*keys, "optimal_inc", "flag", "upper_binds", "lower_binds", "ladder_binds")
+        .select(*keys, "laddered", "rank", "ratio", "cap", "valid", "best_k", "optimal_inc", "flag", "upper_binds", "lower_binds", "ladder_binds")
     )
 
 
