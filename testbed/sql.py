@@ -262,19 +262,19 @@ FROM (SELECT *, CASE WHEN product = 'Export' AND right(bid_id, 1) = '7' THEN NUL
 CTES["s_ceiling"] = "SELECT r.*, b.ceiling FROM s_response r JOIN t_bands b ON b.product = r.product AND r.bid_list_rev > b.min_rev AND r.bid_list_rev <= b.max_rev"
 CTES["s_limits"] = """
 SELECT c.*, t.* EXCLUDE (mode), t.floor AS l_floor,
-  [coalesce(u_price * (1.0 - market_inc) - 1.0, 0.0), -1.0, coalesce(u_market * market_inc, -1.0), coalesce(-ceiling, 0.0)] AS ups,
+  [coalesce(u_price * (1.0 - market_inc) - 1.0, 0.0), -1.0, coalesce(u_market * market_inc, -1.0), coalesce(-ceiling, 0.0)] AS highs,
   [CASE WHEN market_inc IS NULL THEN 0.0 ELSE l_price * (1.0 - market_inc) + 1.0 END,
    CASE WHEN bid_trade_centric <> 1 AND list_rev * (1.0 - new_volume_share) <= 20 AND c.mode = 'IE' THEN 0.0
      WHEN prior_incentive IS NULL THEN 0.0 WHEN bid_reason = 'RETENTION' THEN prior_incentive - prior_slack ELSE prior_incentive END,
    CASE WHEN market_inc IS NULL THEN 0.0 ELSE l_market * market_inc END, t.floor] AS lows
 FROM s_ceiling c JOIN t_settings t ON t.mode = c.mode"""
 CTES["s_bounds"] = """
-SELECT * EXCLUDE (ups, lows, ub, lb), lb < ub AS feasible,
-  CASE WHEN lb < ub THEN ['u_MktPR', 'u_Incentive', 'u_MktInc', 'u_Ceiling'][list_position(ups, -ub)] ELSE 'Resetinfeasible' END AS upper_name,
+SELECT * EXCLUDE (highs, lows, ub, lb), lb < ub AS feasible,
+  CASE WHEN lb < ub THEN ['u_MktPR', 'u_Incentive', 'u_MktInc', 'u_Ceiling'][list_position(highs, -ub)] ELSE 'Resetinfeasible' END AS upper_name,
   CASE WHEN lb < ub THEN ['l_MktPR', 'l_Prior', 'l_MktInc', 'l_Floor'][list_position(lows, lb)] ELSE 'Resetinfeasible' END AS lower_name,
   CASE WHEN lb < ub THEN lb ELSE l_floor + 0.001 END AS lower,
   CASE WHEN lb < ub THEN CASE WHEN abs(ub - 1.0) < 0.000001 THEN 0.999 ELSE ub END ELSE 0.999 END AS upper
-FROM (SELECT *, -list_max(ups) AS ub, list_max(lows) AS lb FROM s_limits)"""
+FROM (SELECT *, -list_max(highs) AS ub, list_max(lows) AS lb FROM s_limits)"""
 
 
 def obj(x: str) -> dict[str, str]:

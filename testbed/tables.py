@@ -251,7 +251,7 @@ def overlay_rows() -> list[tuple]:
 
 
 def segment_tiers() -> list[tuple]:
-    return [(m, t, f"T{(t + 1) // 3}") for m in catalog.HEAVY_MODES for t in range(0, 8)]
+    return [(m, t, f"T{(t + 1) // 3}") for m in catalog.HEAVY_MODES for t in range(0, 7)]
 
 
 def segment_densities() -> list[tuple]:
