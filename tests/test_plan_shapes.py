@@ -46,3 +46,24 @@ def test_entry_and_registry_agree(spark):
 
     assert set(E.oracle_sql()) <= set(E.queries())
     assert E.entry(spark).count() > 0
+
+
+def test_a_hot_bid_leaves_few_rows_to_place(spark):
+    """A third of the lines in one bid: combined to products x tiers rows, with the plain sums."""
+    from pyspark.sql import functions as F
+
+    from tenderline.plans import summary
+
+    n = F.col("id")
+    one = F.lit(1.0)
+    lines = spark.range(30000).select(
+        F.when(n % 3 == 0, "hot").otherwise(F.concat(F.lit("B"), (n % 500).cast("string"))).alias("bid_id"),
+        F.when(n % 2 == 0, "1DA").otherwise("GND_Com").alias("product"), F.when(n % 5 == 0, "FedEx").otherwise("Other").alias("competitor"),
+        (n % 4).cast("int").alias("tier"), (n % 7 + 1).cast("double").alias("volume"), (n % 11).cast("double").alias("list_pp"),
+        *[one.alias(c) for c in ("freight_pp", "marg_cost_pp", "prior_volume", "comp_net_pp", "target_high_pp", "target_low_pp", "prior_net_rev", "prior_gross_rev", "comp_keyed_pp", "comp_est_pp", "density")],
+    )
+    assert summary.line_cells(lines).where("bid_id = 'hot'").count() <= 2 * 4
+    got = {(r.bid_id, r["product"]): r.list_rev for r in summary.product_sums(lines).collect()}
+    plain = lines.groupBy("bid_id", "product").agg(F.sum(F.col("list_pp") * F.col("volume")).alias("v")).collect()
+    want = {(r.bid_id, r["product"]): r.v for r in plain}
+    assert got == want
