@@ -56,8 +56,10 @@ def words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"[{SPACE}]+"))
 
 
-def with_package_path(spark: SparkSession) -> None:
-    """Let Python workers of a local session import this package from where the driver has it."""
+def prepare(spark: SparkSession) -> None:
+    """Small Arrow batches, as texts can be long; and let Python workers of a local session import
+    this package from where the driver has it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(":"):

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenderline.llm import mixture, quality
-from tenderline.llm.common import table, with_package_path
+from tenderline.llm import mixture, pieces, quality, repeats
+from tenderline.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +21,26 @@ def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents"))
 
 
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return pieces.digests(table(spark, sf_dir, "documents"), piece_model())
+
+
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, tuple[Query, str | None]]:
     return {
         "op3_quality": (op3_quality, quality.judge_sql()),
         "op5_mixture": (op5_mixture, mixture.MIX_SQL),
+        "op8_pieces": (op8_pieces, None),
+        "op10_repeats": (op10_repeats, repeats.REPEATS_SQL),
     }
