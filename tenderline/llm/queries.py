@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenderline.llm import mixture, pieces, quality, repeats
+from tenderline.llm import mixture, near, pieces, quality, repeats
 from tenderline.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return near.components(table(spark, sf_dir, "documents"))
+
+
 def piece_model() -> str:
     import public_tokenizers
 
@@ -41,6 +46,7 @@ def registry() -> dict[str, tuple[Query, str | None]]:
     return {
         "op3_quality": (op3_quality, quality.judge_sql()),
         "op5_mixture": (op5_mixture, mixture.MIX_SQL),
+        "op7_near": (op7_near, near.NEAR_SQL),
         "op8_pieces": (op8_pieces, None),
         "op10_repeats": (op10_repeats, repeats.REPEATS_SQL),
     }
