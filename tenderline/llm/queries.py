@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenderline.llm import language, mixture, near, pieces, quality, repeats
+from tenderline.llm import language, merkle, mixture, near, pieces, quality, repeats
 from tenderline.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,11 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_held_out(table(spark, sf_dir, "documents"))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return merkle.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"))
     return judged.drop("distance")
@@ -50,6 +55,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, tuple[Query, str | None]]:
     return {
         "op1_language": (op1_language, None),
+        "op2_fingerprints": (op2_fingerprints, None),
         "op3_quality": (op3_quality, quality.judge_sql()),
         "op5_mixture": (op5_mixture, mixture.MIX_SQL),
         "op7_near": (op7_near, near.NEAR_SQL),
