@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenderline.llm import language, merkle, mixture, near, pieces, quality, repeats
-from tenderline.llm.common import prepare, table
+from tenderline.llm import language, merkle, mixture, near, pieces, quality, repeats, warc
+from tenderline.llm.common import fresh_path, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("distance")
 
 
+def op4_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return warc.round_trip(table(spark, sf_dir, "pages"), fresh_path(spark, "archive"))
+
+
 def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ def registry() -> dict[str, tuple[Query, str | None]]:
         "op1_language": (op1_language, None),
         "op2_fingerprints": (op2_fingerprints, None),
         "op3_quality": (op3_quality, quality.judge_sql()),
+        "op4_archive": (op4_archive, warc.WARC_SQL),
         "op5_mixture": (op5_mixture, mixture.MIX_SQL),
         "op7_near": (op7_near, near.NEAR_SQL),
         "op8_pieces": (op8_pieces, None),
