@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenderline.llm import language, merkle, mixture, near, pieces, quality, repeats, warc
+from tenderline.llm import language, merkle, mixture, near, pieces, quality, repeats, template, warc
 from tenderline.llm.common import fresh_path, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,11 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op9_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return template.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return repeats.digests(table(spark, sf_dir, "documents"))
@@ -66,5 +71,6 @@ def registry() -> dict[str, tuple[Query, str | None]]:
         "op5_mixture": (op5_mixture, mixture.MIX_SQL),
         "op7_near": (op7_near, near.NEAR_SQL),
         "op8_pieces": (op8_pieces, None),
+        "op9_extract": (op9_extract, None),
         "op10_repeats": (op10_repeats, repeats.REPEATS_SQL),
     }

@@ -86,7 +86,7 @@ def test_salvage_by_spark(spark):
     name = files.first()["file"]
     with system.open_input_stream(f"{root}/{name}") as stream:
         data = bytearray(stream.read())
-    data[100] ^= 1
+    data[2000] ^= 1
     with system.open_output_stream(f"{root}/{name}") as stream:
         stream.write(bytes(data))
     back = warc.read_archives(spark, folder, files)
