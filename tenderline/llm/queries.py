@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenderline.llm import language, merkle, mixture, near, pieces, quality, repeats, template, warc
+from tenderline.llm import language, merkle, mixture, near, personal, pieces, quality, repeats, template, warc
 from tenderline.llm.common import fresh_path, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return personal.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return near.components(table(spark, sf_dir, "documents"))
@@ -69,6 +74,7 @@ def registry() -> dict[str, tuple[Query, str | None]]:
         "op3_quality": (op3_quality, quality.judge_sql()),
         "op4_archive": (op4_archive, warc.WARC_SQL),
         "op5_mixture": (op5_mixture, mixture.MIX_SQL),
+        "op6_personal": (op6_personal, None),
         "op7_near": (op7_near, near.NEAR_SQL),
         "op8_pieces": (op8_pieces, None),
         "op9_extract": (op9_extract, None),
