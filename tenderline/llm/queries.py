@@ -68,7 +68,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, tuple[Query, str | None]]:
+    import corpus_pipeline
+
     return {
+        "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
         "op1_language": (op1_language, None),
         "op2_fingerprints": (op2_fingerprints, None),
         "op3_quality": (op3_quality, quality.judge_sql()),
