@@ -24,8 +24,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tenderline.llm.common import words, written
 
 FEATURES = ["f_length", "f_word", "f_symbol", "f_line", "f_repeat"]
-#: Least standard deviation of each feature, in thousandths: a constant feature still has a scale.
-FLOORS = [400, 80, 400, 500, 400]
+#: Least standard deviation of each feature, in thousandths: a constant feature still has a scale, and
+#: one repeated line is no more than one deviation.
+FLOORS = [400, 80, 400, 700, 600]
 SYMBOLS = "#*$%&|<>"
 STEPS = 3
 SHARE = 0.75
