@@ -135,3 +135,13 @@ def test_gap_caps(frame):
 def test_calibration_needs_priced_rows(frame):
     with pytest.raises(ValueError):
         score.calibrate(frame("mode string", [("AIR_CWT",)]), lambda d: d, None)
+
+
+def test_rows_without_an_objective_get_the_clamped_market(frame):
+    rows = bounded(frame, [row("a", "GND_Com"), row("b", "GND_Com", gamma=None), row("c", "1DA"), row("c", "2DA", alpha=None), row("c", "3DA"), row("d", "Import", market=None)])
+    got = {(r.bid_id, r["product"]): r for r in optimise.optimise(rows, 50).collect()}
+    assert got["a", "GND_Com"].flag == 0
+    for key in (("b", "GND_Com"), ("c", "1DA"), ("c", "2DA"), ("c", "3DA"), ("d", "Import")):
+        r = got[key]
+        want = None if r.market_inc is None else min(max(r.market_inc, r.l_floor), r.ceiling)
+        assert r.flag == -1 and r.optimal_inc == want, key
