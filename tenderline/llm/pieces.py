@@ -6,10 +6,11 @@ neighbours are the answer for their joined text. So the encoder needs no merge q
 position it takes the longest token that Aho-Corasick found there, checks it against the token
 before by merging the two short strings again (remembered per pair), goes on to shorter tokens,
 and steps back over a token when none fits. Positions from which no split exists are marked in a
-bit field and never tried again.
+bit field and never tried again. Where the leftmost longest tokens fit as they are, which one
+automaton pass shows, that is the split already.
 
 No piece holds a word mark after another character, so a text falls into words that are encoded
-apart; splits of words are remembered per worker, up to ``REMEMBERED`` words.
+apart; splits of words are remembered per worker, the last ``REMEMBERED`` to twice as many.
 
 Scale: one pass over the rows, no shuffle; the model (its file's bytes) is the only broadcast.
 Defined cases: a null text is the empty text, whose only id is the end id if one is asked for;
@@ -28,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 MARK = "▁"
-REMEMBERED = 300_000
+REMEMBERED = 250_000
+REMEMBERED_PAIRS = 1_000_000
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -99,12 +101,14 @@ class PieceModel:
         alone = "" if any("\n" in piece for piece in self.ids) else "\\n"
         self.word_pattern = re.compile(f"{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+" + (f"|{alone}" if alone else ""))
         self.automaton = ahocorasick.Automaton()
-        for piece in self.ids:
-            self.automaton.add_word(piece, len(piece))
+        for piece, index in self.ids.items():
+            self.automaton.add_word(piece, (len(piece), index))
         self.automaton.make_automaton()
-        self.whole: dict[str, bool] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.whole: dict[int, bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.known: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
+        self.pieces = {index: piece for piece, index in self.ids.items()}
 
     def merged(self, text: str) -> list[str]:
         """The model's answer for a short text, by merging."""
@@ -121,65 +125,107 @@ class PieceModel:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def stands(self, token: str) -> bool:
+    # A token is the index of its piece, or -1 - code point for a character without a piece.
+
+    def text_of(self, token: int) -> str:
+        return self.pieces[token] if token >= 0 else chr(-1 - token)
+
+    def stands(self, token: int) -> bool:
         """Whether a token is the answer for its own text."""
         found = self.whole.get(token)
         if found is None:
-            found = self.whole[token] = self.merged(token) == [token]
+            text = self.text_of(token)
+            found = self.whole[token] = self.merged(text) == [text]
         return found
 
-    def fits(self, left: str, right: str) -> bool:
+    def fits(self, left: int, right: int) -> bool:
         """Whether two neighbours are the answer for their joined text."""
-        found = self.pairs.get((left, right))
+        key = (left << 24) + right
+        found = self.pairs.get(key)
         if found is None:
-            if len(self.pairs) >= REMEMBERED:
+            if len(self.pairs) >= REMEMBERED_PAIRS:
                 self.pairs.clear()
-            found = self.pairs[left, right] = self.merged(left + right) == [left, right]
+            a, b = self.text_of(left), self.text_of(right)
+            found = self.pairs[key] = self.stands(left) and self.stands(right) and self.merged(a + b) == [a, b]
         return found
 
-    def split(self, word: str) -> list[str]:
+    def longest_first(self, word: str) -> list[int] | None:
+        """Leftmost longest tokens if neighbours fit, else None."""
+        out: list[int] = []
+        at, before = 0, None
+        pairs, whole = self.pairs, self.whole
+        for end, (size, token) in self.automaton.iter_long(word):
+            start = end - size + 1
+            if start > at:
+                for c in word[at:start]:
+                    own = -1 - ord(c)
+                    if before is not None and not self.fits(before, own):
+                        return None
+                    out.append(own)
+                    before = own
+            if before is None:
+                if not (whole.get(token) or self.stands(token)):
+                    return None
+            elif not (pairs.get((before << 24) + token) or self.fits(before, token)):
+                return None
+            out.append(token)
+            at, before = end + 1, token
+        for c in word[at:]:
+            own = -1 - ord(c)
+            if before is not None and not self.fits(before, own):
+                return None
+            out.append(own)
+            before = own
+        return out
+
+    def split(self, word: str) -> list[int]:
         """Tokens of a word; characters without a piece stand alone."""
+        found = self.longest_first(word)
+        if found is not None:
+            return found
         n = len(word)
-        sizes: list[list[int]] = [[] for _ in range(n + 1)]
-        for end, size in self.automaton.iter(word):
-            sizes[end - size + 1].append(size)
-        for own in sizes[:n]:
-            if not own or own[0] != 1:
-                own.insert(0, 1)
+        options: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
+        for end, option in self.automaton.iter(word):
+            options[end - option[0] + 1].append(option)
+        for i, own in enumerate(options[:n]):
+            if not own or own[0][0] != 1:
+                own.insert(0, (1, -1 - ord(word[i])))
         failed = bytearray((n >> 3) + 1)
         stack: list[tuple[int, int]] = []
-        at, k = 0, len(sizes[0]) - 1
-        before = None
+        out: list[int] = []
+        at, k = 0, len(options[0]) - 1
         while at < n:
-            own = sizes[at]
+            own = options[at]
             while k >= 0:
-                to = at + own[k]
-                token = word[at:to]
-                if not failed[to >> 3] >> (to & 7) & 1 and self.stands(token) and (before is None or self.fits(before, token)):
+                size, token = own[k]
+                to = at + size
+                if not failed[to >> 3] >> (to & 7) & 1 and (self.fits(out[-1], token) if out else self.stands(token)):
                     break
                 k -= 1
             if k >= 0:
                 stack.append((at, k))
-                at, before = to, token
-                k = len(sizes[at]) - 1
+                out.append(token)
+                at = to
+                k = len(options[at]) - 1
             else:
                 failed[at >> 3] |= 1 << (at & 7)
                 if not stack:
                     raise ValueError("no split exists: the model's pieces are not closed under merging")
                 at, k = stack.pop()
+                out.pop()
                 k -= 1
-                before = word[stack[-1][0] : at] if stack else None
-        cuts = [start for start, _ in stack] + [n]
-        return [word[a:b] for a, b in zip(cuts, cuts[1:])]
+        return out
 
     def word_ids(self, word: str) -> list[int]:
+        found = self.split(word)
+        if min(found, default=0) >= 0:
+            return found
         out: list[int] = []
-        for token in self.split(word):
-            index = self.ids.get(token)
-            if index is not None:
-                out.append(index)
+        for token in found:
+            if token >= 0:
+                out.append(token)
             elif self.byte_fallback:
-                out += [self.byte_ids[b] for b in token.encode()]
+                out += [self.byte_ids[b] for b in chr(-1 - token).encode()]
             else:
                 out.append(self.unknown)
         return out
@@ -200,20 +246,20 @@ class PieceModel:
 
     def of_word(self, word: str) -> tuple[int, str, str]:
         """(number of ids, ids in decimal, decoded text) of a word, remembered if short."""
-        found = self.known.get(word)
+        found = self.known.get(word) or self.older.get(word)
         if found is None:
             ids = self.word_ids(word)
             found = (len(ids), " ".join(map(str, ids)), self._decoded(ids))
-            if len(word) <= 64:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[word] = found
+        if len(word) <= 64:
+            if len(self.known) >= REMEMBERED:
+                self.older, self.known = self.known, {}
+            self.known[word] = found
         return found
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """(number of ids with the end id, SHA-256 of the ids, SHA-256 of the decoded text)."""
-        known, of_word = self.known.get, self.of_word
-        parts = [known(w) or of_word(w) for w in self.words(text)]
+        of_word = self.of_word
+        parts = [self.known.get(w) or of_word(w) for w in self.words(text)]
         ids = [p[1] for p in parts]
         ids.append(str(self.end))
         decoded = "".join([p[2] for p in parts])
