@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -34,9 +35,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: lineage ends here."""
+    """``df`` written once to the shared folder and read back: lineage ends here.
+
+    The shuffle files behind it are then of no use; a collection on the driver lets Spark drop them.
+    """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

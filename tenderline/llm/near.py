@@ -10,14 +10,15 @@ as sharing ceil(3 (|A| + |B|) / 7) shingles. Equal sets are one set from the sta
   many as it can miss, plus one, so linked sets meet in at least one list, and passages that very
   many documents share stay out of the lists.
 
-Only the groups are asked for, so lists need not be expanded into all pairs: in two rounds each
+Only the groups are asked for, so lists need not be expanded into all pairs: in four rounds each
 list tests its members against one leader, groups are formed, and a last exact round tests the
 pairs of each list that still lie in different groups. There, lists of many members are cut into
 blocks and use parity bitmaps, whose difference can only underestimate the sets' difference.
 
-Scale: texts are read twice to hash shingles and shuffled once, to fetch the sets that share a
-list. Postings (a quarter of the shingles, three longs each) are the largest shuffle. Copies in
-one task post once. The sketch is 2 MB whatever the input; nothing else is collected but counts
+Scale: texts are read twice to hash shingles. Pairs are first compared by bitmaps of a few hundred
+bytes; only for pairs that these leave, texts are shuffled, once per round, and their sets made
+again. Postings (a quarter of the shingles, three longs each) and such a round are the largest
+shuffles. Copies in one task post once. The sketch is 2 MB whatever the input; nothing else is collected but counts
 of small sizes. Groups are found by star contraction on tables.
 
 Defined cases: null or blank texts have no shingles, link with nothing and are their own group;
@@ -35,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tenderline.llm.common import mixed, written
+from tenderline.llm.common import mixed, removed, written
 from tenderline.llm.shingles import set_id, shingle_sets
 
 CELLS, BLOCKS = 1 << 18, 256
@@ -43,7 +44,7 @@ CELLS, BLOCKS = 1 << 18, 256
 LARGEST_ENUMERATED, POSTING_COST = 24, 8
 #: Members of a list above which the exact round uses bitmaps, and per block of such a list.
 LONG_LIST, BLOCK = 256, 4096
-ROUNDS = 2
+ROUNDS = 4
 
 
 def needed(n: int, m: int) -> int:
@@ -76,26 +77,29 @@ def _cell(own: np.ndarray) -> np.ndarray:
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per text (row, n, set), and at the end the task's counts of shingles by cell."""
+    """A row per text (row, n, set, and the bitmap at a set's first row in the task), and at the
+    end the task's counts of shingles by cell."""
     counts, seen = np.zeros(CELLS, dtype=np.int64), set()
-    names = ["doc_id", "row", "n", "set", "block", "cells"]
+    names = ["doc_id", "row", "n", "set", "bits", "block", "cells"]
     for batch in batches:
-        sizes, ids = [], []
+        sizes, ids, bits = [], [], []
         for own in shingle_sets(batch.column(2).to_pylist()):
             name = set_id(own) if len(own) else None
             sizes.append(len(own))
             ids.append(name)
-            if name is not None and name not in seen:
+            fresh = name is not None and name not in seen
+            bits.append(bitmap(own) if fresh else None)
+            if fresh:
                 seen.add(name)
                 np.add.at(counts, _cell(own), 1)
         size = batch.num_rows
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(sizes, type=pa.int64()), pa.array(ids, type=pa.int64()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())],
+            [batch.column(0), batch.column(1), pa.array(sizes, type=pa.int64()), pa.array(ids, type=pa.int64()), pa.array(bits, type=pa.binary()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())],
             names=names,
         )
     parts = counts.astype(np.uint32).reshape(BLOCKS, -1)
     used = [i for i in range(BLOCKS) if parts[i].any()]
-    none = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64())]
+    none = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())]
     yield pa.RecordBatch.from_arrays([*none, pa.array(used, type=pa.int32()), pa.array([parts[i].tobytes() for i in used], type=pa.binary())], names=names)
 
 
@@ -176,15 +180,14 @@ def _folded(bits: np.ndarray, size: int) -> np.ndarray:
     return bits if bits.shape[1] == size else np.bitwise_xor.reduce(bits.reshape(len(bits), -1, size), axis=1)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets (set, members) of texts, each once per task."""
+    seen: set[int] = set()
     for batch in batches:
-        sets = list(shingle_sets(batch.column(0).to_pylist()))
+        sets = {name: own for own in shingle_sets(batch.column(0).to_pylist()) if (name := set_id(own)) not in seen}
+        seen.update(sets)
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([set_id(s) for s in sets], type=pa.int64()), pa.array([len(s) for s in sets], type=pa.int64()),
-                pa.array([bitmap(s) for s in sets], type=pa.binary()), pa.array([s.tobytes() for s in sets], type=pa.binary()),
-            ],
-            names=["set", "n", "bits", "members"],
+            [pa.array(list(sets), type=pa.int64()), pa.array([own.tobytes() for own in sets.values()], type=pa.binary())], names=["set", "members"]
         )
 
 
@@ -300,16 +303,25 @@ def groups_of(edges: DataFrame) -> DataFrame:
     return current.select(F.col("a").alias("set"), F.col("b").alias("label"))
 
 
-def _tested(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link: bitmaps first, then whole sets."""
-    def two(df: DataFrame, columns: list[str]) -> DataFrame:
+def _tested(pairs: DataFrame, bits: DataFrame, first_rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link: by bitmaps first, then by the sets of the pairs that are left.
+
+    ``bits`` has (set, n, bits), ``first_rows`` (set, of_row), ``texts`` (row, data).
+    """
+    def two(df: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
         for side in ("a", "b"):
             own = sets.select(F.col("set").alias(f"of_{side}"), *[F.col(c).alias(f"{c}_{side}") for c in columns])
             df = df.join(own, F.col(side) == F.col(f"of_{side}")).drop(f"of_{side}")
         return df.select("a", "b", *[f"{c}_{side}" for c in columns for side in ("a", "b")])
 
-    near = two(pairs, ["n", "bits"]).mapInArrow(_may_link, "a bigint, b bigint")
-    return two(near, ["members"]).mapInArrow(_linked, "a bigint, b bigint")
+    near = written(two(pairs, bits, ["n", "bits"]).mapInArrow(_may_link, "a bigint, b bigint"), "near-pairs")
+    wanted = near.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(first_rows, "set").select("of_row")
+    # always by a shuffle, so that small inputs take the way of large ones
+    members = texts.join(wanted.hint("merge"), F.col("row") == F.col("of_row")).select("data").mapInArrow(_members, "set bigint, members binary")
+    members = written(members, "near-members")
+    found = written(two(near, members, ["members"]).mapInArrow(_linked, "a bigint, b bigint").distinct(), "near-links")
+    removed(members)
+    return found
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -319,7 +331,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     """
     spark: SparkSession = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), F.col("text").cast("binary").alias("data"))
-    profile = written(texts.mapInArrow(_profile, "doc_id bigint, row bigint, n bigint, set bigint, block int, cells binary"), "near-profile")
+    profile = written(texts.mapInArrow(_profile, "doc_id bigint, row bigint, n bigint, set bigint, bits binary, block int, cells binary"), "near-profile")
     rows = profile.where("block IS NULL").select("doc_id", "row", "n", "set")
     cells = profile.where("block IS NOT NULL").select("block", "cells").groupBy("block").applyInPandas(_summed, "block int, cells binary")
     counts = np.zeros((BLOCKS, CELLS // BLOCKS), dtype=np.int64)
@@ -337,10 +349,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
     lists = written(lists, "near-lists")
 
     listed = lists.select("set").distinct()
-    chosen = rows.where("set IS NOT NULL").groupBy("set").agg(F.min("row").alias("of_row"))
-    chosen = chosen.join(listed, "set", "left_semi").select("of_row")
-    sets = texts.join(chosen, F.col("row") == F.col("of_row")).select("data").mapInArrow(_sets, "set bigint, n bigint, bits binary, members binary")
-    sets = written(sets.dropDuplicates(["set"]), "near-sets")
+    first_rows = rows.where("set IS NOT NULL").groupBy("set").agg(F.min("row").alias("of_row")).join(listed, "set", "left_semi")
+    first_rows = written(first_rows, "near-rows")
+    bits = profile.where("bits IS NOT NULL").select("set", "n", "bits").join(listed, "set", "left_semi")
+    bits = written(bits.groupBy("set").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "near-bits")
+    bytes_of = texts.select("row", "data")
 
     labels = None
     edges = None
@@ -351,7 +364,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
         leaders = labelled.groupBy(F.col("key").alias("of_key")).agg(first, F.max("label").alias("high"), F.min("label").alias("low")).where("high <> low")
         pairs = labelled.join(leaders, F.col("key") == F.col("of_key")).where("label <> first.label AND 4 * least(n, first.n) >= 3 * greatest(n, first.n) AND (need = 0 OR 7 * need >= 3 * (n + first.n))")
         pairs = pairs.select(F.least("set", "first.set").alias("a"), F.greatest("set", "first.set").alias("b")).distinct()
-        found = _tested(pairs, sets)
+        found = _tested(pairs, bits, first_rows, bytes_of)
         edges = found if labels is None else labels.select(F.col("set").alias("a"), F.col("label").alias("b")).unionByName(found)
         labels = groups_of(edges)
 
@@ -359,13 +372,13 @@ def near_groups(docs: DataFrame) -> DataFrame:
     open_lists = labelled.groupBy(F.col("key").alias("of_key")).agg(F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").drop("low", "high")
     live = labelled.join(open_lists, F.col("key") == F.col("of_key")).drop("of_key")
     live = live.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
-    long_rows = live.where(F.col("members") > LONG_LIST).join(sets.select("set", "bits"), "set")
+    long_rows = live.where(F.col("members") > LONG_LIST).join(bits.select("set", "bits"), "set")
     short_rows = live.where(F.col("members") <= LONG_LIST).withColumn("bits", F.lit(None).cast("binary"))
     meeting = long_rows.unionByName(short_rows).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     meeting = meeting.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "set", "n", "need", "label", "bits")
     meeting = meeting.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     pairs = meeting.mapInArrow(_pairs_between_groups, "a bigint, b bigint").distinct()
-    labels = groups_of(labels.select(F.col("set").alias("a"), F.col("label").alias("b")).unionByName(_tested(pairs, sets)))
+    labels = groups_of(labels.select(F.col("set").alias("a"), F.col("label").alias("b")).unionByName(_tested(pairs, bits, first_rows, bytes_of)))
     return rows.join(labels, "set", "left").select("doc_id", "row", "n", "set", F.coalesce("label", "set").alias("label"))
 
 
