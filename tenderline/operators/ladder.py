@@ -2,86 +2,68 @@
 
 The objective is a sum over products and only neighbouring products constrain each other, so
 the best combination is found by a running maximum along the ladder instead of by trying
-combinations: cost is products x grid points per group, never their power. A row's values on the
-grid are one array, so nothing is exploded, sorted or joined back.
+combinations: cost is products x grid points per group, never their power.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 GRID = 200
 SLACK = 1e-9
 
-Value = Callable[[Column], Column]
 
+def grid_points(rows: DataFrame, points: int, low: str = "lower", high: str = "cap", name: str = "x") -> DataFrame:
+    """Each row once per grid index 0..points, with its position between the bounds."""
+    at = F.col(low) + (F.col(high) - F.col(low)) * F.col("k") / F.lit(float(points))
+    return rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(points)))).withColumn(name, at)
 
-def position(low: Column, high: Column, k: Column, points: int) -> Column:
-    """The place of a grid index 0..points between two bounds."""
-    return low + (high - low) * k / F.lit(float(points))
 
+def best_alone(rows: DataFrame, keys: list[str], value: Callable[[str], Column], points: int = GRID) -> DataFrame:
+    """Grid maximum of rows that no ladder ties to another; (keys, best_k).
 
-def grid_values(value: Value, low: Column, high: Column, points: int = GRID) -> Column:
-    """The values at all grid indices, as one array."""
-    return F.transform(F.sequence(F.lit(0), F.lit(points)), lambda k: value(position(low, high, k, points)))
-
-
-def best_index(values: Column) -> Column:
-    """Index of the largest value, the last of equals; NULL if no value is known."""
-    best = F.array_max(F.filter(F.transform(values, lambda v, k: F.struct(v.alias("value"), k.alias("k"))), lambda s: s["value"].isNotNull()))
-    return best["k"]
-
-
-def running_maximum(values: Column) -> Column:
-    """Largest known value up to each index."""
-    empty = F.array().cast("array<double>")
-    return F.aggregate(values, empty, lambda kept, v: F.concat(kept, F.array(F.greatest(F.try_element_at(kept, F.lit(-1)), v))))
-
+    The exploded points are combined within the task that made them. Points without a value do
+    not count; a row without any has no best index.
+    """
+    scored = grid_points(rows, points).withColumn("value", value("x")).where(F.col("value").isNotNull())
+    return scored.groupBy(*keys).agg(F.max(F.struct("value", "k"))["k"].alias("best_k"))
 
-def _last_below(limit: Column, low: Column, high: Column, points: int) -> Column:
-    """Largest grid index whose place is at most ``limit``; -1 if there is none."""
-    guess = F.least(F.greatest(F.floor((limit - low) / (high - low) * points), F.lit(-1)), F.lit(points)).cast("int")
-    up = (guess < points) & (position(low, high, guess + 1, points) <= limit)
-    down = (guess >= 0) & (position(low, high, guess, points) > limit)
-    return F.when(up, guess + 1).when(down, guess - 1).otherwise(guess)
 
+def best_on_ladder(rows: DataFrame, group: list[str], value: Callable[[str], Column], points: int = GRID) -> DataFrame:
+    """Grid maximum over groups of two or three laddered rows; (group, rank, best_k).
 
-def best_on_ladder(members: str, value_of: Callable[[Column], Value], points: int = GRID) -> tuple[dict[str, Column], Column]:
-    """Columns to add in order, and the best grid index of every member of a laddered group.
+    Every row must have a value at every point; the caller leaves other groups out.
 
-    ``members`` names an array of two or three structs, one per rank, with ``lower``, ``cap`` and
-    ``ratio``: for rank r > 1, the member of rank r-1 may be at most ratio*x + (1-ratio). For
-    every point of rank r, the best partner below its limit is a running maximum.
+    Rows carry ``rank`` 1..n along the ladder and ``ratio``: for rank r > 1, the row of rank
+    r-1 may be at most ratio*x + (1-ratio). For every point of rank r the best partner below its
+    limit is a running maximum over points ordered by position: points of rank r-1 stand at
+    their own position, points of rank r at the limit they impose.
     """
-    m = [F.get(F.col(members), r) for r in range(3)]
-    three = F.size(members) == 3
-
-    def limit_index(rank: int, k: Column) -> Column:
-        own, below = m[rank], m[rank - 1]
-        x = position(own["lower"], own["cap"], k, points)
-        return _last_below(own["ratio"] * x + (1.0 - own["ratio"]) + SLACK, below["lower"], below["cap"], points)
-
-    def with_best_below(rank: int, values: str, running: str) -> Column:
-        return F.transform(F.col(values), lambda v, k: v + F.get(F.col(running), limit_index(rank, k)))
-
-    def best_up_to(values: str, k: Column) -> Column:
-        return best_index(F.slice(F.col(values), F.lit(1), k + 1))
-
-    def own_values(rank: int) -> Column:
-        return grid_values(value_of(m[rank]), m[rank]["lower"], m[rank]["cap"], points)
-
-    columns = {
-        "ladder_v1": own_values(0),
-        "ladder_v2": own_values(1),
-        "ladder_v3": F.when(three, own_values(2)),
-        "ladder_m1": running_maximum(F.col("ladder_v1")),
-        "ladder_w2": with_best_below(1, "ladder_v2", "ladder_m1"),
-        "ladder_m2": F.when(three, running_maximum(F.col("ladder_w2"))),
-        "ladder_k3": F.when(three, best_index(with_best_below(2, "ladder_v3", "ladder_m2"))),
-        "ladder_k2": F.when(three, best_up_to("ladder_w2", limit_index(2, F.col("ladder_k3")))).otherwise(best_index(F.col("ladder_w2"))),
-        "ladder_k1": best_up_to("ladder_v1", limit_index(1, F.col("ladder_k2"))),
-    }
-    found = F.when(F.col("ladder_k1").isNotNull(), F.when(three, F.array("ladder_k1", "ladder_k2", "ladder_k3")).otherwise(F.array("ladder_k1", "ladder_k2")))
-    return columns, found
+    x, rank, total = F.col("x"), F.col("rank"), F.col("value")
+    scored = grid_points(rows, points).withColumn("value", value("x"))
+    limit = F.col("ratio") * x + (1.0 - F.col("ratio")) + SLACK
+    steps = scored.select(*group, "rank", "k", "x", "value", limit.alias("limit"))
+
+    def running(order: Column, source: Column) -> Column:
+        frame = Window.partitionBy(*group).orderBy(order.asc_nulls_last(), rank, F.col("k")).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        return F.max(source).over(frame)
+
+    # rank 1 -> 2
+    first = F.when(rank == 1, F.struct(total.alias("value"), F.col("k").alias("k1")))
+    order = F.when(rank == 1, x).when(rank == 2, F.col("limit"))
+    two = steps.withColumn("below", running(order, first)).withColumn(
+        "pair", F.when((rank == 2) & F.col("below").isNotNull(), F.struct((total + F.col("below.value")).alias("value"), F.col("below.k1").alias("k1"), F.col("k").alias("k2")))
+    )
+    # rank 2 -> 3
+    order = F.when(rank == 2, x).when(rank == 3, F.col("limit"))
+    three = two.where(rank > 1).withColumn("under", running(order, F.col("pair"))).withColumn(
+        "triple",
+        F.when((rank == 3) & F.col("under").isNotNull(), F.struct((total + F.col("under.value")).alias("value"), F.col("under.k1").alias("k1"), F.col("under.k2").alias("k2"), F.col("k").alias("k3"))),
+    )
+    best = three.groupBy(*group).agg(F.max("rank").alias("n"), F.max("pair").alias("pair"), F.max("triple").alias("triple"))
+    path = F.when(F.col("n") == 3, F.array("triple.k1", "triple.k2", "triple.k3")).otherwise(F.array("pair.k1", "pair.k2"))
+    return best.select(*group, F.posexplode(path).alias("at", "best_k")).select(*group, (F.col("at") + 1).alias("rank"), "best_k")

@@ -8,8 +8,9 @@ from tenderline import catalog
 from tenderline.catalog import values_frame
 from tenderline.functions.objective import objective, slope
 from tenderline.functions.scalars import flag
-from tenderline.operators.ladder import GRID, best_index, best_on_ladder, grid_values
+from tenderline.operators.ladder import GRID, best_alone, best_on_ladder
 from tenderline.plans.bounds import market_clamped
+from tenderline.session import materialise
 
 SCENARIO = "scenario"
 
@@ -101,52 +102,53 @@ def add_ladder(rows: DataFrame, strict: bool = True, as_coded: bool = False, gro
     )
 
 
-_NUMBERS = ["market_inc", "alpha", "gamma", "list_rev", "marg_cost", "price_discipline", "volume_weight", "lower", "cap", "ratio"]
+_NUMBERS = [
+    "market_inc", "alpha", "gamma", "list_rev", "marg_cost", "price_discipline", "volume_weight", "lower", "upper", "feasible", "l_floor", "ceiling",
+]
 
 
-def total_of(row: Column | None, x: Column) -> Column:
-    """Objective at ``x`` of the current row, or of a struct with the same fields."""
-    if row is None:
-        return objective(x).total
-    names = ("market", "alpha", "gamma", "revenue", "cost", "price_discipline", "volume_weight")
-    return objective(x, **{name: row[field] for name, field in zip(names, _NUMBERS)}).total
+def row_objective(x: str) -> Column:
+    return objective(x).total
 
 
 def optimise(rows: DataFrame, points: int = GRID, strict: bool = True, as_coded: bool = False, group: tuple[str, ...] = ("bid_id",), current: str | None = None) -> DataFrame:
     """Add the optimal incentive and what it yields to bounded rows.
 
     ``rows`` is one row per (group, product) with bounds, response, weights and market
-    incentive. Everything happens within the rows of one (group, mode), so one placement of the
-    rows serves ladder, search and flags. ``current`` names an incentive column to evaluate
-    alongside.
+    incentive. It feeds the search and the result, so it is written once to the shared folder.
+    Ladder, search and flags see only the numbers they need, and the wide rows are joined to
+    the outcome once. ``current`` names an incentive column to evaluate alongside.
 
     A row whose objective is unknown (a missing response, cost, revenue or market incentive) is
     not searched, nor is a laddered group with such a member: they get the clamped market
     incentive and flag -1. Flag 1 marks groups without room under the ladder, 0 all others.
     """
+    group_keys = list(group)
+    keys = [*group_keys, "product"]
+    ready = materialise(rows, "bounded")
+    ladder = add_ladder(ready.select(*keys, "mode", *_NUMBERS), strict, as_coded, group)
+    together = Window.partitionBy(*group, "mode", "laddered")
+    known = row_objective("lower").isNotNull()
+    ladder = ladder.withColumn("known", F.when(F.col("laddered"), F.min(known).over(together)).otherwise(known))
+    narrow = materialise(ladder, "ladder")
+    numbers = narrow.where("valid AND known AND NOT price_discipline = 1")
+    alone = best_alone(numbers.where("NOT laddered"), keys, row_objective, points)
+    tied = numbers.where("laddered").repartition(*group_keys)
+    ranks = narrow.where("laddered").select(*keys, "rank")
+    chained = best_on_ladder(tied, group_keys, row_objective, points).join(ranks, [*group_keys, "rank"]).select(*keys, "best_k")
+    optimum = optimum_of(narrow, alone.unionByName(chained), points, group_keys)
+    return results_at_optimum(ready.join(optimum, keys), current)
+
+
+def optimum_of(rows: DataFrame, best: DataFrame, points: int, group: list[str]) -> DataFrame:
+    """Optimal incentive with its flags per (group, product).
+
+    Works on the narrow columns only; the wide rows are joined once, by the caller. The windows
+    hold the products of one (group, mode).
+    """
     c = F.col
-    whole = Window.partitionBy(*group, "mode")
-    ready = add_ladder(rows, strict, as_coded, group).withColumn("known", total_of(None, c("lower")).isNotNull())
-    member = F.struct("rank", *_NUMBERS)
-    ready = ready.withColumns({
-        "members": F.sort_array(F.collect_list(F.when(c("laddered"), member)).over(whole)),
-        "all_known": F.min(F.when(c("laddered"), c("known"))).over(whole),
-    })
-    wanted = c("valid") & ~(c("price_discipline") == 1)
-    alone = F.when(wanted & c("known") & ~c("laddered"), best_index(grid_values(lambda x: total_of(None, x), c("lower"), c("cap"), points)))
-    leads = wanted & c("laddered") & c("all_known") & (c("rank") == 1)
-    ready = ready.withColumn("best_k", alone).withColumn("led", F.when(leads, c("members")))
-    columns, chained = best_on_ladder("led", lambda m: lambda x: total_of(m, x), points)
-    for name, column in columns.items():
-        ready = ready.withColumn(name, F.when(c("led").isNotNull(), column))
-    ready = ready.withColumn("led", chained).drop(*columns, "members")
-    ready = ready.withColumn("best_k", F.coalesce("best_k", F.get(F.max("led").over(whole), c("rank") - 1)))
-    return results_at_optimum(optimum_of(ready, points, list(group)), current).drop("led", "known", "all_known")
-
-
-def optimum_of(rows: DataFrame, points: int, group: list[str]) -> DataFrame:
-    """Optimal incentive with its flags from the best grid index of each row."""
-    c = F.col
+    keys = [*group, "product"]
+    found = rows.join(best, keys, "left")
     on_grid = c("lower") + (c("cap") - c("lower")) * c("best_k") / F.lit(float(points))
     chosen = F.when(c("best_k").isNotNull() & c("feasible"), on_grid).otherwise(market_clamped())
     # ladder digits: the k-th constraint of the group adds 10^k where it binds
@@ -155,14 +157,14 @@ def optimum_of(rows: DataFrame, points: int, group: list[str]) -> DataFrame:
     step = F.greatest((F.lag("cap").over(below) - F.lag("lower").over(below)) / F.lit(float(points)), F.lit(1e-5))
     slack = c("ratio") * c("optimal_inc") + (1.0 - c("ratio")) - F.lag("optimal_inc").over(below)
     binds = F.when((c("rank") > 1) & (slack < step), F.when(c("rank") == 2, 1).otherwise(10)).otherwise(0)
-    full_discipline = F.coalesce(c("price_discipline") == 1, F.lit(False))
     return (
-        rows.withColumn("optimal_inc", chosen)
-        .withColumn("flag", F.when(full_discipline, 0).when(~c("valid"), 1).when(c("best_k").isNull(), -1).otherwise(0))
+        found.withColumn("optimal_inc", chosen)
+        .withColumn("flag", F.when(F.coalesce(c("price_discipline") == 1, F.lit(False)), 0).when(~c("valid"), 1).when(c("best_k").isNull(), -1).otherwise(0))
         .withColumn("upper_binds", flag(c("upper") - c("optimal_inc") < 1e-5))
         .withColumn("lower_binds", flag(c("optimal_inc") - c("lower") < 1e-5))
         .withColumn("ladder_binds", binds)
         .withColumn("ladder_binds", F.sum("ladder_binds").over(whole).cast("int"))
+        .select(*keys, "laddered", "rank", "ratio", "cap", "valid", "best_k", "optimal_inc", "flag", "upper_binds", "lower_binds", "ladder_binds")
     )
 
 
