@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,14 +26,10 @@ def build_session(app_name: str = "tenderline", master: str | None = None, **ove
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can see, taken from ``spark.checkpoint.dir``.
-
-    Only where the cluster names none (as in tests) is a local one made and set.
-    """
+    """The folder all executors can see, named by ``spark.checkpoint.dir``; there is no default."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="tenderline-")
-        spark.sparkContext.setCheckpointDir(folder)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return folder
 
 

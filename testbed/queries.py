@@ -62,9 +62,9 @@ def bounded(t: Tables) -> DataFrame:
     return score.bounded_rows(features(t), formulas.respond, t.bands)
 
 
-def marked(t: Tables) -> DataFrame:
-    """Bounded rows with the lower bound in place of an optimum, for steps after the search."""
-    return bounded(t).withColumn("optimal_inc", F.col("lower"))
+def optimal(t: Tables) -> DataFrame:
+    """Bounded rows with their optimum; written once, as product and surcharge rows branch from it."""
+    return materialise(optimise.optimise(bounded(t)), "optimum")
 
 
 def calibration(t: Tables) -> DataFrame:
@@ -365,64 +365,11 @@ def objective_per_group(t):
 
 
 # --- search -------------------------------------------------------------------------------------
-def _found(n: int) -> str:
-    """Best grid index per product: alone by the largest value, laddered by trying all combinations."""
-    g = S.grid(n)
-    r12, r23, r13 = S.R12, S.R23, S.R13
-    return f"""grid AS ({g}),
-air AS (SELECT bid_id, bool_or(product = '1DA') AS a, bool_or(product = '2DA') AS b, bool_or(product = '3DA') AS c, bool_and(cap > lower) AS valid FROM s_caps WHERE mode = 'AIR' GROUP BY 1),
-alone AS (SELECT g.bid_id, g.product, arg_max(k, (v, k)) AS k FROM grid g LEFT JOIN air USING (bid_id)
-  WHERE mode <> 'AIR' OR (a::INT + b::INT + c::INT) < 2 GROUP BY 1, 2),
-g1 AS (SELECT bid_id, k, x, v FROM grid WHERE product = '1DA'), g2 AS (SELECT bid_id, k, x, v FROM grid WHERE product = '2DA'), g3 AS (SELECT bid_id, k, x, v FROM grid WHERE product = '3DA'),
-three AS (SELECT bid_id, arg_max([g1.k, g2.k, g3.k], (g1.v + g2.v + g3.v)) AS ks FROM air JOIN g1 USING (bid_id) JOIN g2 USING (bid_id) JOIN g3 USING (bid_id)
-  WHERE a AND b AND c AND valid AND g1.x <= {r12} * g2.x + (1.0 - {r12}) + 1e-9 AND g2.x <= {r23} * g3.x + (1.0 - {r23}) + 1e-9 GROUP BY 1),
-p12 AS (SELECT bid_id, arg_max([g1.k, g2.k, NULL], (g1.v + g2.v)) AS ks FROM air JOIN g1 USING (bid_id) JOIN g2 USING (bid_id)
-  WHERE a AND b AND NOT c AND valid AND g1.x <= {r12} * g2.x + (1.0 - {r12}) + 1e-9 GROUP BY 1),
-p23 AS (SELECT bid_id, arg_max([NULL, g2.k, g3.k], (g2.v + g3.v)) AS ks FROM air JOIN g2 USING (bid_id) JOIN g3 USING (bid_id)
-  WHERE b AND c AND NOT a AND valid AND g2.x <= {r23} * g3.x + (1.0 - {r23}) + 1e-9 GROUP BY 1),
-p13 AS (SELECT bid_id, arg_max([g1.k, NULL, g3.k], (g1.v + g3.v)) AS ks FROM air JOIN g1 USING (bid_id) JOIN g3 USING (bid_id)
-  WHERE a AND c AND NOT b AND valid AND g1.x <= {r13} * g3.x + (1.0 - {r13}) + 1e-9 GROUP BY 1),
-chained AS (SELECT bid_id, ['1DA', '2DA', '3DA'][i] AS product, ks[i] AS k FROM (SELECT * FROM three UNION ALL SELECT * FROM p12 UNION ALL SELECT * FROM p23 UNION ALL SELECT * FROM p13), range(1, 4) AS r(i) WHERE ks[i] IS NOT NULL),
-best AS (SELECT * FROM alone UNION ALL SELECT * FROM chained)"""
-
-
-def _search_check(n: int) -> str:
-    tail = f"""SELECT c.bid_id, c.product, c.mode,
-  round(CASE WHEN best.k IS NOT NULL AND feasible THEN lower + (cap - lower) * best.k / {n}.0::DOUBLE
-    WHEN market_inc IS NOT NULL THEN least(greatest(market_inc, l_floor), ceiling) END, 6) AS optimal_inc
-FROM s_caps c LEFT JOIN best ON best.bid_id = c.bid_id AND best.product = c.product"""
-    head = S.with_tables("SELECT 1 FROM s_caps").rsplit("\n", 1)[0]
-    return head + ",\n" + _found(n) + "\n" + tail
-
-
-def _optimum(t: Tables, n: int) -> DataFrame:
-    rows = optimise.optimise(bounded(t), n)
-    return rows.select("bid_id", "product", "mode", F.round("optimal_inc", 6).alias("optimal_inc"))
-
-
-def optimum_on_coarse_grid(t):
-    return _optimum(t, 20)
-
-
-REGISTRY["optimum_on_coarse_grid"] = (lambda spark, d: optimum_on_coarse_grid(Tables(spark, d)), _search_check(20))
-
-REGISTRY["optimum_of_single_products"] = (
-    lambda spark, d: single_products(Tables(spark, d)),
-    S.with_tables("SELECT 1 FROM s_caps").rsplit("\n", 1)[0] + f""",
-single AS (SELECT * FROM s_caps QUALIFY mode <> 'AIR' OR count(*) OVER (PARTITION BY bid_id, mode) = 1),
-grid AS ({S.grid(200, "single")}), best AS (SELECT bid_id, product, arg_max(k, (v, k)) AS k FROM grid GROUP BY 1, 2)
-SELECT c.bid_id, c.product, round(CASE WHEN feasible THEN lower + (cap - lower) * best.k / 200.0::DOUBLE
-  WHEN market_inc IS NOT NULL THEN least(greatest(market_inc, l_floor), ceiling) END, 6) AS optimal_inc
-FROM single c JOIN best ON best.bid_id = c.bid_id AND best.product = c.product""",
-)
-
-
-def single_products(t: Tables) -> DataFrame:
-    rows = optimise.optimise(bounded(t)).where("NOT laddered")
-    return rows.select("bid_id", "product", F.round("optimal_inc", 6).alias("optimal_inc"))
-
-
-@query()
+@query(f"""SELECT bid_id, product, mode, round(optimal_inc, 6) AS optimal_inc, flag, CASE WHEN upper - optimal_inc < 1e-5 THEN 1 ELSE 0 END AS upper_binds,
+  CASE WHEN optimal_inc - lower < 1e-5 THEN 1 ELSE 0 END AS lower_binds, CAST(sum(binds) OVER (PARTITION BY bid_id, mode) AS INT) AS ladder_binds,
+  round({S.obj('optimal_inc')['profit']}, 4) AS optimal_profit, round({S.obj('coalesce(prior_incentive, 0.1)')['profit']}, 4) AS current_profit
+FROM (SELECT *, CASE WHEN rank > 1 AND laddered AND ratio * optimal_inc + (1.0 - ratio) - lag(optimal_inc) OVER w < greatest((lag(cap) OVER w - lag(lower) OVER w) / {S.POINTS}.0, 1e-5)
+  THEN CASE rank WHEN 2 THEN 1 ELSE 10 END ELSE 0 END AS binds FROM s_optimum WINDOW w AS (PARTITION BY bid_id, mode ORDER BY rank))""")
 def optimum_with_flags(t):
     rows = features(t).withColumn("current_inc", F.coalesce("prior_incentive", F.lit(0.1)))
     best = optimise.optimise(score.bounded_rows(rows, formulas.respond, t.bands), current="current_inc")
@@ -430,34 +377,57 @@ def optimum_with_flags(t):
                        F.round("optimal_profit", 4).alias("optimal_profit"), F.round("current_profit", 4).alias("current_profit"))
 
 
+@query("SELECT bid_id, product, round(optimal_inc, 6) AS optimal_inc FROM s_optimum WHERE NOT laddered")
+def optimum_of_single_products(t):
+    return optimise.optimise(bounded(t)).where("NOT laddered").select("bid_id", "product", F.round("optimal_inc", 6).alias("optimal_inc"))
+
+
+def _with_gaps(t: Tables) -> DataFrame:
+    """Bounded rows, some of them without a cost or a response."""
+    digit = F.right("bid_id", F.lit(1))
+    rows = bounded(t).withColumn("marg_cost", F.when(~((digit == "3") & (F.col("product") == "2DA")), F.col("marg_cost")))
+    return rows.withColumn("gamma", F.when(~((digit == "5") & (F.col("mode") == "GND")), F.col("gamma")))
+
+
+_GAPS = S.with_tables("SELECT bid_id, product, round(optimal_inc, 6) AS optimal_inc, flag FROM s_optimum").replace(" FROM s_bounds WINDOW w AS", """ FROM (SELECT * REPLACE (
+  CASE WHEN NOT (right(bid_id, 1) = '3' AND product = '2DA') THEN marg_cost END AS marg_cost, CASE WHEN NOT (right(bid_id, 1) = '5' AND mode = 'GND') THEN gamma END AS gamma) FROM s_bounds) WINDOW w AS""")
+
+
+def optimum_with_unknown_values(t: Tables) -> DataFrame:
+    return optimise.optimise(_with_gaps(t)).select("bid_id", "product", F.round("optimal_inc", 6).alias("optimal_inc"), "flag")
+
+
+REGISTRY["optimum_with_unknown_values"] = (lambda spark, d: optimum_with_unknown_values(Tables(spark, d)), _GAPS)
+
+
 _SCENARIOS = [(0, 0.0, 0.0), (1, 0.0, 0.5), (2, 0.0, 1.0), (3, 0.5, 0.0), (4, 0.5, 0.5), (5, 0.5, 1.0), (6, 1.0, 0.0)]
 _SCENARIO_OBJ = S.obj("x")["total"]
 
 
-@query(f"""SELECT scenario, bid_id, product, round(CASE WHEN price_discipline = 1 OR NOT feasible THEN CASE WHEN market_inc IS NOT NULL THEN least(greatest(market_inc, l_floor), ceiling) END
-    ELSE arg_max(x, (v, k)) END, 6) AS optimal_inc
-FROM (SELECT *, coalesce({_SCENARIO_OBJ}, 0.0) AS v FROM (
-  SELECT c.* EXCLUDE (price_discipline, volume_weight), z.scenario, z.price_discipline, z.volume_weight, k, lower + (upper - lower) * k / 40.0::DOUBLE AS x
-  FROM s_bounds c, ({S.values(_SCENARIOS, 'scenario, price_discipline, volume_weight')}) z, range(0, 41) AS r(k) WHERE mode = 'IE'))
+@query(f"""SELECT scenario, bid_id, product, round(coalesce(CASE WHEN price_discipline <> 1 AND feasible THEN arg_max(x, (v, k)) FILTER (WHERE v IS NOT NULL) END,
+    CASE WHEN market_inc IS NOT NULL THEN least(greatest(market_inc, l_floor), ceiling) END), 6) AS optimal_inc
+FROM (SELECT *, {_SCENARIO_OBJ} AS v FROM (
+  SELECT c.* EXCLUDE (price_discipline, volume_weight), z.scenario, z.price_discipline, z.volume_weight, k, lower + (upper - lower) * k / 200.0::DOUBLE AS x
+  FROM s_bounds c, ({S.values(_SCENARIOS, 'scenario, price_discipline, volume_weight')}) z, range(0, 201) AS r(k) WHERE mode = 'IE'))
 GROUP BY scenario, bid_id, product, price_discipline, feasible, market_inc, l_floor, ceiling""")
 def weight_scenarios(t):
     scenarios = optimise.weight_scenarios(t.spark, 0.0, 1.0, 0.5, 0.0, 1.0, 0.5)
-    best = score.scan_scenarios(features(t), formulas.respond, t.bands, scenarios, "IE", 40)
+    best = score.scan_scenarios(features(t), formulas.respond, t.bands, scenarios, "IE")
     return best.select("scenario", "bid_id", "product", F.round("optimal_inc", 6).alias("optimal_inc"))
 
 
 # --- after the search ---------------------------------------------------------------------------
 _SWEPT = S.obj("x")
 _SWEEP = f"""sweep AS (SELECT bid_id, product, mode, step, x, {_SWEPT['pt']} AS pt, {_SWEPT['profit']} AS profit, {_SWEPT['total']} AS total, list_rev
-  FROM (SELECT *, lower + step / 100.0::DOUBLE AS x FROM s_bounds, range(-20, 21) AS r(step)))"""
+  FROM (SELECT *, optimal_inc + step / 100.0::DOUBLE AS x FROM s_optimum, range(-20, 21) AS r(step)))"""
 
 
 def _sweep_check(tail: str) -> str:
-    return S.with_tables("SELECT 1 FROM s_bounds").rsplit("\n", 1)[0] + ",\n" + _SWEEP + "\n" + tail
+    return S.with_tables("SELECT 1 FROM s_optimum").rsplit("\n", 1)[0] + ",\n" + _SWEEP + "\n" + tail
 
 
 def what_if_sweep(t):
-    rows = post.labelled_steps(post.sweep(marked(t)))
+    rows = post.labelled_steps(post.sweep(optimal(t)))
     return rows.select("bid_id", "product", "step", "step_label", *[F.round(c, 5).alias(c) for c in ("swept_inc", "objective", "pull_through", "profit", "net_rev")])
 
 
@@ -468,35 +438,35 @@ FROM sweep WINDOW w AS (PARTITION BY bid_id, mode, step)"""))
 
 
 def sweep_side_by_side(t):
-    wide = post.sweep_wide(post.sweep(marked(t)))
-    return wide.select("bid_id", "product", *[F.round(f"`{name}`", 5).alias(name.replace("-", "m").replace(".", "_")) for metric, name, _ in post.sweep_columns() if metric != "profit"])
+    wide = post.sweep_wide(post.sweep(optimal(t)))
+    return wide.select("bid_id", "product", *[F.round(f"`{name}`", 5).alias(name.replace("-", "m").replace(".", "_")) for metric, name, _ in post.sweep_columns()])
 
 
 REGISTRY["sweep_side_by_side"] = (lambda spark, d: sweep_side_by_side(Tables(spark, d)), _sweep_check(
     "SELECT bid_id, product, " + ", ".join(
-        f"round(max(CASE WHEN step = {step} THEN {dict(swept_inc='x', objective='o', pull_through='pt', net_rev='pt * list_rev * (1.0 - x)')[metric]} END), 5) AS \"{name.replace('-', 'm').replace('.', '_')}\""
-        for metric, name, step in post.sweep_columns() if metric != "profit")
-    + " FROM (SELECT *, sum(total) OVER w / nullif(sum(list_rev) OVER w, 0) AS o FROM sweep WINDOW w AS (PARTITION BY bid_id, mode, step)) GROUP BY 1, 2"))
+        f"round(max(CASE WHEN step = {step} THEN {dict(swept_inc='x', objective='o', profit='p', pull_through='pt', net_rev='pt * list_rev * (1.0 - x)')[metric]} END), 5) AS \"{name.replace('-', 'm').replace('.', '_')}\""
+        for metric, name, step in post.sweep_columns())
+    + " FROM (SELECT *, sum(total) OVER w / nullif(sum(list_rev) OVER w, 0) AS o, sum(profit) OVER w AS p FROM sweep WINDOW w AS (PARTITION BY bid_id, mode, step)) GROUP BY 1, 2"))
 
 
-_OFFERED = """SELECT *, greatest(least(overall_incentive - gap, 0.70), 0.05) AS freight_incentive FROM (
-  SELECT *, lower AS overall_incentive, greatest(least(0.05 - 0.5 * gross_cost_ratio, 0.0), -0.2) AS gap, sum(lower * list_rev) OVER (PARTITION BY bid_id) / nullif(bid_list_rev, 0) AS bid_overall_incentive FROM s_bounds)"""
+S.CTES["s_offered"] = """SELECT *, greatest(least(overall_incentive - gap, 0.70), 0.05) AS freight_incentive FROM (
+  SELECT *, optimal_inc AS overall_incentive, greatest(least(0.05 - 0.5 * gross_cost_ratio, 0.0), -0.2) AS gap, sum(optimal_inc * list_rev) OVER (PARTITION BY bid_id) / nullif(bid_list_rev, 0) AS bid_overall_incentive FROM s_optimum)"""
 
 
 def offered_rows(t: Tables) -> DataFrame:
-    return post.offered(formulas.gap(post.bid_incentive(marked(t))))
+    return post.offered(formulas.gap(post.bid_incentive(optimal(t))))
 
 
-@query(f"SELECT bid_id, product, round(bid_overall_incentive, 9) AS bid_overall_incentive, round(gap, 9) AS gap, round(freight_incentive, 9) AS freight_incentive FROM ({_OFFERED})")
+@query(f"SELECT bid_id, product, round(bid_overall_incentive, 9) AS bid_overall_incentive, round(gap, 9) AS gap, round(freight_incentive, 9) AS freight_incentive FROM s_offered")
 def offered_incentives(t):
     return offered_rows(t).select("bid_id", "product", *[F.round(c, 9).alias(c) for c in ("bid_overall_incentive", "gap", "freight_incentive")])
 
 
-_TARGETS = f"""SELECT *, freight_incentive + 0.01 AS target_high, CASE WHEN freight_incentive >= 0.05 THEN freight_incentive - 0.05 ELSE 0.0 END AS target_low,
-  least(ceiling, greatest(freight_incentive + 0.01, least(1.0 - marg_cost / nullif(0.95 * list_rev, 0), prior_incentive))) AS shown_high FROM ({_OFFERED})"""
+S.CTES["s_targets"] = f"""SELECT *, freight_incentive + 0.01 AS target_high, CASE WHEN freight_incentive >= 0.05 THEN freight_incentive - 0.05 ELSE 0.0 END AS target_low,
+  least(ceiling, greatest(freight_incentive + 0.01, least(1.0 - marg_cost / nullif(0.95 * list_rev, 0), prior_incentive))) AS shown_high FROM s_offered"""
 
 
-@query(f"SELECT bid_id, product, round(target_high, 6) AS target_high, round(target_low, 6) AS target_low, round(shown_high, 6) AS shown_high FROM ({_TARGETS})")
+@query(f"SELECT bid_id, product, round(target_high, 6) AS target_high, round(target_low, 6) AS target_low, round(shown_high, 6) AS shown_high FROM s_targets")
 def target_ranges(t):
     return post.target_range(offered_rows(t)).select("bid_id", "product", *[F.round(c, 6).alias(c) for c in ("target_high", "target_low", "shown_high")])
 
@@ -505,24 +475,24 @@ def _tier(kind: str, value: str) -> str:
     return f"coalesce((SELECT arg_min(incentive, break_at) FROM t_breaks WHERE surcharge_type = '{kind}' AND break_at >= {value}), (SELECT arg_max(incentive, break_at) FROM t_breaks WHERE surcharge_type = '{kind}'))"
 
 
-_SURCHARGES = f"SELECT *, {_tier('RES', 'optimal_inc')} AS resi, {_tier('GDL', 'bid_list_rev')} AS das FROM (SELECT bid_id, mode, product, bid_list_rev, max(lower) AS optimal_inc FROM s_bounds WHERE mode IN ('GND', 'AIR') GROUP BY ALL)"
+S.CTES["s_surch"] = f"SELECT *, {_tier('RES', 'optimal_inc')} AS resi, {_tier('GDL', 'bid_list_rev')} AS das FROM (SELECT bid_id, mode, product, bid_list_rev, max(optimal_inc) AS optimal_inc FROM s_optimum WHERE mode IN ('GND', 'AIR') GROUP BY ALL)"
 
 
-@query(f"SELECT bid_id, product, resi, das FROM ({_SURCHARGES})")
+@query(f"SELECT bid_id, product, resi, das FROM s_surch")
 def surcharge_incentives(t):
-    return post.surcharge_incentives(marked(t), t.surcharge_breaks).select("bid_id", "product", "resi", "das")
+    return post.surcharge_incentives(optimal(t), t.surcharge_breaks).select("bid_id", "product", "resi", "das")
 
 
-_QUOTES = f"""SELECT bid_id, product, mode, c.direction, c.svc_type, c.feature, freight_incentive, target_high, target_low, NULL AS surcharge_type, NULL AS package_type, NULL AS acquisition, NULL AS description, NULL::DOUBLE AS resi, NULL::DOUBLE AS das
-FROM ({_TARGETS}) JOIN t_codes c USING (product)
-UNION ALL SELECT bid_id, product, 'ACY', m.direction, m.svc_type, m.feature, NULL, NULL, NULL, surcharge_type, package_type, acquisition, description, resi, das FROM ({_SURCHARGES}) JOIN t_surcharge_map m USING (product)"""
+S.CTES["s_quotes"] = f"""SELECT bid_id, product, mode, c.direction, c.svc_type, c.feature, freight_incentive, target_high, target_low, NULL AS surcharge_type, NULL AS package_type, NULL AS acquisition, NULL AS description, NULL::DOUBLE AS resi, NULL::DOUBLE AS das
+FROM s_targets JOIN t_codes c USING (product)
+UNION ALL SELECT bid_id, product, 'ACY', m.direction, m.svc_type, m.feature, NULL, NULL, NULL, surcharge_type, package_type, acquisition, description, resi, das FROM s_surch JOIN t_surcharge_map m USING (product)"""
 
 
 def quote_rows(t: Tables) -> DataFrame:
     return post.quotes(offered_rows(t), t.service_products, t.surcharge_breaks, t.surcharge_map)
 
 
-@query(f"SELECT bid_id, product, mode, direction, svc_type, feature, round(freight_incentive, 6) AS freight_incentive, round(target_low, 6) AS target_low, surcharge_type, description, resi, das FROM ({_QUOTES})")
+@query(f"SELECT bid_id, product, mode, direction, svc_type, feature, round(freight_incentive, 6) AS freight_incentive, round(target_low, 6) AS target_low, surcharge_type, description, resi, das FROM s_quotes")
 def quotes_per_service(t):
     return quote_rows(t).select("bid_id", "product", "mode", "direction", "svc_type", "feature", F.round("freight_incentive", 6).alias("freight_incentive"),
                                 F.round("target_low", 6).alias("target_low"), "surcharge_type", "description", "resi", "das")
@@ -569,32 +539,32 @@ def result_rows(t: Tables) -> DataFrame:
 
 
 _PRIOR = "SELECT DISTINCT p.bid_id, p.svc_group, recommended, low, high, direction, svc_type, feature FROM t_prior p JOIN t_ceiling USING (bid_id, svc_group) JOIN t_groups USING (bid_id, svc_group)"
-_RESULTS = f"""SELECT x.bid_id, product, mode, freight_incentive, target_low, target_high, svc_group, recommended AS prior_target, NULL AS surcharge_type, NULL::DOUBLE AS resi, NULL::DOUBLE AS das, NULL AS description
-FROM ({_QUOTES}) x JOIN ({_PRIOR}) p ON p.bid_id = x.bid_id AND p.direction = x.direction AND p.svc_type = x.svc_type AND p.feature = x.feature WHERE mode <> 'ACY'
-UNION ALL SELECT bid_id, product, mode, freight_incentive, target_low, target_high, NULL, NULL, surcharge_type, resi, das, description FROM ({_QUOTES}) WHERE mode = 'ACY'"""
+S.CTES["s_results"] = f"""SELECT x.bid_id, product, mode, freight_incentive, target_low, target_high, svc_group, recommended AS prior_target, NULL AS surcharge_type, NULL::DOUBLE AS resi, NULL::DOUBLE AS das, NULL AS description
+FROM s_quotes x JOIN ({_PRIOR}) p ON p.bid_id = x.bid_id AND p.direction = x.direction AND p.svc_type = x.svc_type AND p.feature = x.feature WHERE mode <> 'ACY'
+UNION ALL SELECT bid_id, product, mode, freight_incentive, target_low, target_high, NULL, NULL, surcharge_type, resi, das, description FROM s_quotes WHERE mode = 'ACY'"""
 
 
-@query(f"SELECT bid_id, product, mode, svc_group::DOUBLE AS svc_group, round(freight_incentive, 6) AS freight_incentive, prior_target, resi, das FROM ({_RESULTS})")
+@query(f"SELECT bid_id, product, mode, svc_group::DOUBLE AS svc_group, round(freight_incentive, 6) AS freight_incentive, prior_target, resi, das FROM s_results")
 def results_with_prior(t):
     return result_rows(t).select("bid_id", "product", "mode", F.col("svc_group").cast("double").alias("svc_group"), F.round("freight_incentive", 6).alias("freight_incentive"), "prior_target", "resi", "das")
 
 
-_UPDATES = f"""SELECT bid_id, svc_group, max(recommended) AS recommended, arg_max(low, recommended) AS low, arg_max(high, recommended) AS high FROM (
-  SELECT bid_id, svc_group, freight_incentive AS recommended, target_low AS low, target_high AS high FROM ({_RESULTS}) r
+S.CTES["s_updates"] = f"""SELECT bid_id, svc_group, max(recommended) AS recommended, arg_max(low, recommended) AS low, arg_max(high, recommended) AS high FROM (
+  SELECT bid_id, svc_group, freight_incentive AS recommended, target_low AS low, target_high AS high FROM s_results r
   WHERE mode <> 'ACY' AND NOT EXISTS (SELECT 1 FROM t_surcharge s WHERE s.bid_id = r.bid_id AND s.svc_group = r.svc_group)) GROUP BY 1, 2"""
-_SURCHARGE_UPDATES = f"""SELECT s.bid_id, s.svc_group, max(CASE s.surcharge_type WHEN 'RES' THEN resi WHEN 'GDL' THEN das END) AS recommended
-FROM ({_QUOTES}) x JOIN t_surcharge s ON s.bid_id = x.bid_id AND s.direction = x.direction AND s.feature = x.feature AND s.svc_type = x.svc_type AND s.surcharge_type = x.surcharge_type
+S.CTES["s_surch_updates"] = f"""SELECT s.bid_id, s.svc_group, max(CASE s.surcharge_type WHEN 'RES' THEN resi WHEN 'GDL' THEN das END) AS recommended
+FROM s_quotes x JOIN t_surcharge s ON s.bid_id = x.bid_id AND s.direction = x.direction AND s.feature = x.feature AND s.svc_type = x.svc_type AND s.surcharge_type = x.surcharge_type
   AND s.package_type = x.package_type AND s.acquisition = x.acquisition WHERE mode = 'ACY' GROUP BY 1, 2"""
 
 
-@query(f"SELECT bid_id, svc_group, recommended, recommended AS low, recommended AS high FROM ({_SURCHARGE_UPDATES})")
+@query(f"SELECT bid_id, svc_group, recommended, recommended AS low, recommended AS high FROM s_surch_updates")
 def surcharge_updates(t):
     return publish.surcharge_updates(quote_rows(t), t.surcharge_services)
 
 
 @query(f"""SELECT p.bid_id, p.svc_group, result_type, round(CASE WHEN result_type = 'P' THEN coalesce(u.recommended, p.recommended) ELSE p.recommended END, 6) AS recommended,
   round(CASE WHEN result_type = 'P' THEN coalesce(u.low, p.low) ELSE p.low END, 6) AS low, round(CASE WHEN result_type = 'P' THEN coalesce(u.high, p.high) ELSE p.high END, 6) AS high
-FROM t_prior p LEFT JOIN (SELECT u.* FROM (SELECT * FROM ({_UPDATES}) UNION ALL SELECT bid_id, svc_group, recommended, recommended, recommended FROM ({_SURCHARGE_UPDATES})) u
+FROM t_prior p LEFT JOIN (SELECT u.* FROM (SELECT * FROM s_updates UNION ALL SELECT bid_id, svc_group, recommended, recommended, recommended FROM s_surch_updates) u
   LEFT JOIN t_holdout h ON h.digit = CAST(right(u.bid_id, 1) AS INT) WHERE coalesce(h.is_on, true)) u ON u.bid_id = p.bid_id AND u.svc_group = p.svc_group""")
 def updated_result_table(t):
     prior = weights.prior_results_with_services(t.prior_results, t.ceiling_services, t.service_groups)
@@ -613,19 +583,17 @@ def update_statements(t):
     return publish.update_statements(t.prior_results.where("result_type = 'P'"), "results", ("rec", "lo", "hi", "bid", "grp", "typ"))
 
 
-@query("SELECT bid_id, CASE WHEN bid_id IN (SELECT bid_id FROM p_products WHERE mode = 'AIR_CWT') THEN 0 ELSE 1 END AS status FROM t_bids")
+@query("SELECT bid_id, CASE WHEN bid_id IN (SELECT bid_id FROM s_quotes) THEN 0 ELSE 1 END AS status FROM t_bids")
 def scoring_status(t):
-    return publish.scoring_status(t.bids, products(t).where("mode = 'AIR_CWT'"))
+    return publish.scoring_status(t.bids, quote_rows(t))
 
 
-@query(f"""SELECT bid_id, description || ': Inc - ' || CASE surcharge_type WHEN 'RES' THEN resi WHEN 'GDL' THEN das END AS line FROM (SELECT DISTINCT bid_id, description, surcharge_type, resi, das FROM ({_QUOTES}) WHERE mode = 'ACY')
-UNION ALL SELECT bid_id, product || ': Inc - ' || i || ', Low - ' || l || ', High - ' || h FROM (SELECT DISTINCT bid_id, product, ceiling AS i, min_rev AS l, max_rev AS h
-  FROM (SELECT s.bid_id, s.product, b.* EXCLUDE (product) FROM s_bounds s JOIN t_bands b ON b.product = s.product AND s.bid_list_rev > b.min_rev AND s.bid_list_rev <= b.max_rev))""")
+@query(f"""SELECT bid_id, description || ': Inc - ' || CASE surcharge_type WHEN 'RES' THEN resi WHEN 'GDL' THEN das END AS line FROM (SELECT DISTINCT bid_id, description, surcharge_type, resi, das FROM s_quotes WHERE mode = 'ACY')
+UNION ALL SELECT bid_id, product || ': Inc - ' || i || ', Low - ' || l || ', High - ' || h FROM (
+  SELECT DISTINCT bid_id, product, round(freight_incentive, 4) AS i, round(target_low, 4) AS l, round(target_high, 4) AS h FROM s_quotes WHERE mode <> 'ACY' AND freight_incentive IS NOT NULL)""")
 def report_lines(t):
-    surcharges = quote_rows(t).where(F.col("mode") == catalog.SURCHARGE_MODE)
-    banded = J.range_lookup(bounded(t).drop("ceiling"), t.bands, ["product"], "bid_list_rev", "min_rev", "max_rev")
-    product_rows = banded.select("bid_id", "product", "mode", F.col("ceiling").alias("freight_incentive"), F.col("min_rev").alias("target_low"), F.col("max_rev").alias("target_high"))
-    return publish.report_lines(A.stacked([surcharges, product_rows]))
+    rows = quote_rows(t).where((F.col("mode") == catalog.SURCHARGE_MODE) | F.col("freight_incentive").isNotNull())
+    return publish.report_lines(rows.withColumns({c: F.round(c, 4) for c in ("freight_incentive", "target_low", "target_high")}))
 
 
 @query()
@@ -639,14 +607,14 @@ def scored_bids(t):
     return scored.select("bid_id", "product", "mode", "direction", "svc_type", "feature", F.round("freight_incentive", 6).alias("freight_incentive"), "resi", "das")
 
 
-@query(f"SELECT x.bid_id, count(*) AS quotes, min(mode) AS first_mode, max(mode) AS last_mode FROM ({_QUOTES}) x GROUP BY 1")
+@query(f"SELECT x.bid_id, count(*) AS quotes, min(mode) AS first_mode, max(mode) AS last_mode FROM s_quotes x GROUP BY 1")
 def streamed_requests(t):
     """Requests (product rows of all bids) arrive as files, are scored by micro-batch, and the
     responses are read back: the same rows as the batch plan gives."""
     from tenderline.streaming import requests as R
 
     folder, out, bad = (run_folder(t.spark, n) for n in ("requests", "responses", "rejects"))
-    marked(t).write.parquet(folder)
+    optimal(t).write.parquet(folder)
     schema = t.spark.read.parquet(folder).schema
 
     def score_one(rows: DataFrame) -> DataFrame:

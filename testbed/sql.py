@@ -12,6 +12,8 @@ from tenderline import catalog
 from testbed import tables as B
 
 CTES: dict[str, str] = {}
+#: Expressions that are worked out once, as several others read them.
+KEPT = {"p_products", "p_features", "s_bounds", "s_grid", "s_ladder", "s_run1", "s_two", "s_run2", "s_optimum", "s_targets", "s_surch", "s_quotes", "s_results", "s_updates", "s_surch_updates"}
 
 
 def values(rows: list[tuple], names: str) -> str:
@@ -40,7 +42,8 @@ def with_tables(query: str) -> str:
                     order.append(name)
 
     need(query)
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + query if order else query
+    kept = lambda n: "MATERIALIZED " if n in KEPT else ""
+    return "WITH " + ",\n".join(f"{n} AS {kept(n)}({CTES[n]})" for n in order) + "\n" + query if order else query
 
 
 def q(text: str) -> str:
@@ -295,6 +298,50 @@ FROM (SELECT *, CASE WHEN u3 IS NOT NULL THEN least(u2, {R23} * u3 + (1.0 - {R23
     max(CASE WHEN product = '3DA' THEN upper END) OVER w AS u3 FROM s_bounds WINDOW w AS (PARTITION BY bid_id)))"""
 
 
-def grid(points: int, source: str = "s_caps") -> str:
+POINTS = 200
+
+
+def grid(points: int, source: str) -> str:
     x = f"lower + (cap - lower) * k / {points}.0::DOUBLE"
-    return f"SELECT bid_id, product, mode, k, {x} AS x, coalesce({obj(f'({x})')['total']}, 0.0) AS v FROM {source}, range(0, {points + 1}) AS r(k)"
+    return f"SELECT bid_id, product, mode, k, {x} AS x, {obj(f'({x})')['total']} AS v FROM {source}, range(0, {points + 1}) AS r(k)"
+
+
+# --- search: every point of every product; along the ladder, each point joins the best point below its limit ---
+CTES["s_members"] = f"""
+SELECT *, min(CASE WHEN cap > lower THEN 1 ELSE 0 END) OVER m = 1 AS valid, {obj('lower')['total']} IS NOT NULL AS known,
+  product IN ('1DA', '2DA', '3DA') AND members >= 2 AS laddered,
+  CASE product WHEN '1DA' THEN 1 WHEN '2DA' THEN CASE WHEN u1 IS NOT NULL THEN 2 ELSE 1 END WHEN '3DA' THEN members END AS rank,
+  CASE product WHEN '2DA' THEN CASE WHEN u1 IS NOT NULL THEN {R12} END WHEN '3DA' THEN CASE WHEN u2 IS NOT NULL THEN {R23} ELSE {R13} END END AS ratio
+FROM (SELECT *, (u1 IS NOT NULL)::INT + (u2 IS NOT NULL)::INT + (u3 IS NOT NULL)::INT AS members FROM s_caps) WINDOW m AS (PARTITION BY bid_id, mode)"""
+CTES["s_searched"] = "SELECT * FROM (SELECT *, bool_and(known) OVER (PARTITION BY bid_id, mode, laddered) AS all_known FROM s_members) WHERE valid AND price_discipline <> 1 AND CASE WHEN laddered THEN all_known ELSE known END"
+CTES["s_grid"] = grid(POINTS, "s_searched")
+CTES["s_ladder"] = "SELECT g.bid_id, g.product, k, x, v, rank, members, ratio FROM s_grid g JOIN s_searched s ON s.bid_id = g.bid_id AND s.product = g.product WHERE laddered"
+
+
+def _running(source: str) -> str:
+    """Largest value up to each point, and the last point that has it."""
+    w = "(PARTITION BY bid_id ORDER BY k ROWS UNBOUNDED PRECEDING)"
+    return f"SELECT bid_id, x, m, max(CASE WHEN v = m THEN k END) OVER {w} AS best FROM (SELECT *, max(v) OVER {w} AS m FROM {source})"
+
+
+def _joined(rank: int, below: str) -> str:
+    """Each point of a rank with the best point below its limit; best values only grow with the position."""
+    points = f"""SELECT bid_id, x AS place, 0 AS asks, m, best, NULL AS k, NULL AS x, NULL AS members, NULL AS v FROM {below}
+    UNION ALL SELECT bid_id, ratio * x + (1.0 - ratio) + 1e-9, 1, NULL, NULL, k, x, members, v FROM s_ladder WHERE rank = {rank}"""
+    return f"""SELECT bid_id, k, x, members, v + m AS v, best FROM (
+  SELECT * REPLACE (max(m) OVER w AS m, max(best) OVER w AS best) FROM ({points}) WINDOW w AS (PARTITION BY bid_id ORDER BY place, asks ROWS UNBOUNDED PRECEDING)) WHERE asks = 1 AND m IS NOT NULL"""
+
+
+CTES["s_run1"] = _running("(SELECT * FROM s_ladder WHERE rank = 1)")
+CTES["s_two"] = _joined(2, "s_run1")
+CTES["s_run2"] = _running("s_two")
+CTES["s_three"] = _joined(3, "s_run2")
+CTES["s_chained"] = """
+SELECT bid_id, [best, k] AS ks FROM s_two WHERE members = 2 QUALIFY row_number() OVER (PARTITION BY bid_id ORDER BY v DESC, k DESC) = 1
+UNION ALL SELECT h.bid_id, [t.best, t.k, h.k] FROM (SELECT * FROM s_three QUALIFY row_number() OVER (PARTITION BY bid_id ORDER BY v DESC, k DESC) = 1) h JOIN s_two t ON t.bid_id = h.bid_id AND t.k = h.best"""
+CTES["s_alone"] = "SELECT g.bid_id, g.product, arg_max(k, (v, k)) AS k FROM s_grid g JOIN s_searched s ON s.bid_id = g.bid_id AND s.product = g.product WHERE NOT laddered GROUP BY 1, 2"
+CTES["s_optimum"] = f"""
+SELECT *, CASE WHEN best_k IS NOT NULL AND feasible THEN lower + (cap - lower) * best_k / {POINTS}.0::DOUBLE WHEN market_inc IS NOT NULL THEN least(greatest(market_inc, l_floor), ceiling) END AS optimal_inc,
+  CASE WHEN price_discipline = 1 THEN 0 WHEN NOT valid THEN 1 WHEN best_k IS NULL THEN -1 ELSE 0 END AS flag
+FROM (SELECT m.*, CASE WHEN m.laddered THEN c.ks[m.rank] ELSE a.k END AS best_k FROM s_members m
+  LEFT JOIN s_alone a ON a.bid_id = m.bid_id AND a.product = m.product LEFT JOIN s_chained c ON c.bid_id = m.bid_id)"""

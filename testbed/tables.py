@@ -6,6 +6,8 @@ held to 1/1024 of a unit, so that sums of price x quantity are exact in any orde
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tenderline import catalog
@@ -19,10 +21,18 @@ def cents(value: Column) -> Column:
     return F.floor(value * 1024.0) / F.lit(1024.0)
 
 
+def name_shared_folder(spark: SparkSession) -> None:
+    """On a local master without ``spark.checkpoint.dir``, name a folder of this machine for intermediate tables."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and spark.sparkContext.master.startswith("local["):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="testbed-"))
+
+
 class Tables:
     """The source tables at one data folder; every attribute is a lazy DataFrame."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        name_shared_folder(spark)
         self.spark = spark
         self.sf_dir = sf_dir
         self._read: dict[str, DataFrame] = {}

@@ -7,10 +7,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tenderline.session import build_session
 
-    session = build_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"})
+    folder = str(tmp_path_factory.mktemp("shared"))
+    session = build_session("tests", "local[8]", **{"spark.checkpoint.dir": folder, "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
