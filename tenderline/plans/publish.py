@@ -42,9 +42,10 @@ def updates_allowed(bid_id: Column, holdout: DataFrame, rows: DataFrame) -> Data
 def product_updates(results: DataFrame, surcharge_services: DataFrame) -> DataFrame:
     """One update per (bid, service group) from product quotes; surcharge groups are left out.
 
-    Should a group carry several quotes the largest incentive is taken, with its range.
+    Should a group carry several quotes the largest incentive is taken, with its range. A quote
+    without an incentive updates nothing.
     """
-    products = results.where((F.col("mode") != catalog.SURCHARGE_MODE) & F.col("svc_group").isNotNull())
+    products = results.where((F.col("mode") != catalog.SURCHARGE_MODE) & F.col("svc_group").isNotNull() & F.col("freight_incentive").isNotNull())
     kept = except_listed(products, surcharge_services, ["bid_id", "svc_group"])
     best = F.max(F.struct(F.col("freight_incentive").alias("recommended"), F.col("target_low").alias("low"), F.col("target_high").alias("high")))
     return kept.groupBy("bid_id", "svc_group").agg(best.alias("u")).select("bid_id", "svc_group", "u.*")

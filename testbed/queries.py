@@ -449,7 +449,7 @@ REGISTRY["sweep_side_by_side"] = (lambda spark, d: sweep_side_by_side(Tables(spa
     + " FROM (SELECT *, sum(total) OVER w / nullif(sum(list_rev) OVER w, 0) AS o, sum(profit) OVER w AS p FROM sweep WINDOW w AS (PARTITION BY bid_id, mode, step)) GROUP BY 1, 2"))
 
 
-S.CTES["s_offered"] = """SELECT *, greatest(least(overall_incentive - gap, 0.70), 0.05) AS freight_incentive FROM (
+S.CTES["s_offered"] = """SELECT *, CASE WHEN overall_incentive IS NOT NULL THEN greatest(least(overall_incentive - gap, 0.70), 0.05) END AS freight_incentive FROM (
   SELECT *, optimal_inc AS overall_incentive, greatest(least(0.05 - 0.5 * gross_cost_ratio, 0.0), -0.2) AS gap, sum(optimal_inc * list_rev) OVER (PARTITION BY bid_id) / nullif(bid_list_rev, 0) AS bid_overall_incentive FROM s_optimum)"""
 
 
