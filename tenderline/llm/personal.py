@@ -337,8 +337,10 @@ def fit(docs: DataFrame) -> Tagger | None:
     """A tagger from the base spans of a bounded sample of texts, as they are and in other forms."""
     rows = docs.select("text").where((F.char_length("text") <= SAMPLE_CHARS) & F.col("text").rlike("[0-9@]"))
     rows = rows.withColumn("mark", F.xxhash64("text"))
-    texts = [r["text"] for r in rows.orderBy("mark", "text").limit(SAMPLE_TEXTS).collect()]
-    texts = list(dict.fromkeys(texts))
+    # marks first: only the chosen texts, each once, come to the driver
+    marks = [r["mark"] for r in rows.select("mark").distinct().orderBy("mark").limit(SAMPLE_TEXTS).collect()]
+    chosen = rows.where(F.col("mark").isin(marks)).groupBy("mark").agg(F.min("text").alias("text"))
+    texts = [r["text"] for r in chosen.orderBy("mark").collect()]
     rng = random.Random(7)
     labelled = []
     for i, text in enumerate(texts):
