@@ -10,9 +10,10 @@ as sharing ceil(3 (|A| + |B|) / 7) shingles. Equal sets are one set from the sta
   many as it can miss, plus one, so linked sets meet in at least one list, and passages that very
   many documents share stay out of the lists.
 
-Only the groups are asked for, so lists need not be expanded into all pairs: in four rounds each
-list tests its members against one leader, groups are formed, and a last exact round tests the
-pairs of each list that still lie in different groups. There, lists of many members are cut into
+Only the groups are asked for, so lists need not be expanded into all pairs: in up to four rounds each
+list tests its members against one leader, groups are formed, and lists within one group are laid
+aside; a round without a link ends this. A last exact round tests the pairs of each list that
+still lie in different groups. There, lists of many members are cut into
 blocks and use parity bitmaps, whose difference can only underestimate the sets' difference.
 
 Scale: texts are read twice to hash shingles. Pairs are first compared by bitmaps of a few hundred
@@ -356,15 +357,21 @@ def near_groups(docs: DataFrame) -> DataFrame:
     bytes_of = texts.select("row", "data")
 
     labels = None
-    edges = None
     for step in range(ROUNDS):
         labelled = lists if labels is None else lists.join(labels, "set", "left")
         labelled = labelled.withColumn("label", F.col("set") if labels is None else F.coalesce("label", "set"))
         first = F.min(F.struct(F.xxhash64("set", F.lit(step)), F.col("set").alias("set"), F.col("n").alias("n"), F.col("label").alias("label"))).alias("first")
         leaders = labelled.groupBy(F.col("key").alias("of_key")).agg(first, F.max("label").alias("high"), F.min("label").alias("low")).where("high <> low")
-        pairs = labelled.join(leaders, F.col("key") == F.col("of_key")).where("label <> first.label AND 4 * least(n, first.n) >= 3 * greatest(n, first.n) AND (need = 0 OR 7 * need >= 3 * (n + first.n))")
-        pairs = pairs.select(F.least("set", "first.set").alias("a"), F.greatest("set", "first.set").alias("b")).distinct()
+        # a list whose members are in one group can tell nothing more: only the others are read again
+        live = labelled.join(leaders, F.col("key") == F.col("of_key")).select("key", "set", "n", "need", "label", F.col("first.set").alias("other"), F.col("first.n").alias("other_n"), F.col("first.label").alias("other_label"))
+        live = written(live, "near-lists")
+        removed(lists)
+        pairs = live.where("label <> other_label AND 4 * least(n, other_n) >= 3 * greatest(n, other_n) AND (need = 0 OR 7 * need >= 3 * (n + other_n))")
+        pairs = pairs.select(F.least("set", "other").alias("a"), F.greatest("set", "other").alias("b")).distinct()
+        lists = live.select("key", "set", "n", "need")
         found = _tested(pairs, bits, first_rows, bytes_of)
+        if labels is not None and found.isEmpty():
+            break
         edges = found if labels is None else labels.select(F.col("set").alias("a"), F.col("label").alias("b")).unionByName(found)
         labels = groups_of(edges)
 
