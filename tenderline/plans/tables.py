@@ -58,7 +58,7 @@ def latest_targets(target_prices: DataFrame) -> DataFrame:
     """
     prices = ["comp_est_pp", "target_pp", "target_low_pp", "target_high_pp"]
     by_factor = target_prices.groupBy("bid_id", "svc_group", "factor").agg(*[F.max(p).alias(p) for p in prices])
-    tops = target_prices.groupBy("bid_id").agg(F.max("factor").alias("factor")).where(F.col("factor").isNotNull())
+    tops = by_factor.groupBy("bid_id").agg(F.max("factor").alias("factor")).where(F.col("factor").isNotNull())
     return by_factor.join(tops, ["bid_id", "factor"], "left_semi").select("bid_id", "svc_group", *prices)
 
 

@@ -91,8 +91,13 @@ def canonical(raw: DataFrame, table: str, fillers: tuple[str, ...] = ()) -> Data
             value = value.try_cast("boolean")
         return value.alias(name)
 
-    found = [(next((c for c in raw.columns if fnmatch(c, code)), None), name) for code, name in SOURCE_COLUMNS[table].items()]
-    return raw.select(*[typed(code, name) for code, name in found if code is not None])
+    found = []
+    for code, name in SOURCE_COLUMNS[table].items():
+        hits = [c for c in raw.columns if fnmatch(c, code)]
+        if len(hits) > 1:
+            raise ValueError(f"{table}: {name} could be any of {', '.join(hits)}")
+        found += [(c, name) for c in hits]
+    return raw.select(*[typed(code, name) for code, name in found])
 
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:

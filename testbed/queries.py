@@ -285,7 +285,7 @@ def logit_of_shares(t):
     return products(t).select("bid_id", F.round(F.coalesce(logit(F.col("watched_share")), F.lit(0.0)), 6).alias("base_logit"), composite_key(F.col("bid_id"), F.col("product")).alias("key"))
 
 
-WIDE = (["GND_Com", "1DA", "Import"], {"list_rev": None, "major_competitor": ["FedEx", "Other"]}, {"bid_list_rev": None, "bid_reason": ["CONVERSION", "RETENTION"]})
+WIDE = (list(catalog.PRODUCT_MODES), {"list_rev": None, "major_competitor": ["FedEx", "Other"]}, {"bid_list_rev": None, "bid_reason": ["CONVERSION", "RETENTION"]})
 
 
 @query("SELECT bid_id, " + ", ".join(
@@ -498,19 +498,22 @@ def quotes_per_service(t):
                                 F.round("target_low", 6).alias("target_low"), "surcharge_type", "description", "resi", "das")
 
 
-@query("SELECT bid_id, " + ", ".join(f"round(count(*) FILTER (name = '{n}')::DOUBLE / count(*), 9) AS ind_{n}_pct" for n in [*catalog.INDUSTRIES.values(), catalog.UNMAPPED_INDUSTRY])
+S.CTES["s_industry"] = ("SELECT bid_id, " + ", ".join(f"round(count(*) FILTER (name = '{n}')::DOUBLE / count(*), 9) AS ind_{n}_pct" for n in [*catalog.INDUSTRIES.values(), catalog.UNMAPPED_INDUSTRY])
        + """, (SELECT arg_max(s, (n, -i)) FROM (SELECT unnest(list_value(""" + ", ".join(f"count(*) FILTER (name = '{n}')" for n in [*catalog.INDUSTRIES.values(), catalog.UNMAPPED_INDUSTRY])
        + """)) AS n, unnest(range(10)) AS i, unnest(list_value(""" + ", ".join("'" + s.replace("'", "''") + "'" for s in [*catalog.INDUSTRIES, "Unclassified"]) + """)) AS s)) AS dominant_industry
 FROM (SELECT bid_id, CASE segment """ + " ".join(f"WHEN '{s}' THEN '{n}'" for s, n in catalog.INDUSTRIES.items()) + f" ELSE '{catalog.UNMAPPED_INDUSTRY}' END AS name FROM t_shippers LEFT JOIN t_industry USING (industry_code)) GROUP BY 1")
+
+
+@query("SELECT * FROM s_industry")
 def industry_profile(t):
     rows = industry.industry_profile(t.shippers, t.industry_map)
     return rows.select("bid_id", *[F.round(c, 9).alias(c) for c in industry.INDUSTRY_COLUMNS], "dominant_industry")
 
 
-@query("""SELECT f.bid_id, f.product, round(0.4 + coalesce(o.increment, 0.0), 9) AS volume_weight FROM p_features f LEFT JOIN t_overlay o
-  ON o.district = TRY_CAST(f.bid_district AS INT) AND o.industry = 'Healthcare' AND o.product = f.product WHERE f.mode IN ('AIR', 'GND', 'IE')""")
+@query("""SELECT f.bid_id, f.product, round(0.4 + coalesce(o.increment, 0.0), 9) AS volume_weight FROM p_features f JOIN s_industry d ON d.bid_id = f.bid_id LEFT JOIN t_overlay o
+  ON o.district = TRY_CAST(f.bid_district AS INT) AND o.industry = d.dominant_industry AND o.product = f.product WHERE f.mode IN ('AIR', 'GND', 'IE')""")
 def overlay_weights(t):
-    rows = score.priced_rows(features(t)).withColumn("dominant_industry", F.lit("Healthcare"))
+    rows = score.priced_rows(features(t)).join(industry.industry_profile(t.shippers, t.industry_map), "bid_id")
     return optimise.add_weights(rows, t.overlay).select("bid_id", "product", F.round("volume_weight", 9).alias("volume_weight"))
 
 
@@ -630,8 +633,11 @@ def streamed_requests(t):
 def streamed_without_repeats(t):
     from tenderline.streaming import requests as R
 
-    schema = t.raw("events").schema
-    once = R.without_repeats(R.request_stream(t.spark, t.sf_dir, schema, "events.parquet"), ["event_id"], "ts", "1 day")
+    events = t.raw("events").withColumn("ts", F.col("ts").cast("timestamp"))
+    again = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR"))
+    folder = run_folder(t.spark, "repeated")
+    events.unionByName(again).write.parquet(folder)
+    once = R.without_repeats(R.request_stream(t.spark, folder, events.schema), ["event_id"], "ts", "1 day")
     out = run_folder(t.spark, "events")
     writer = once.writeStream.format("parquet").option("path", out).option("checkpointLocation", run_folder(t.spark, "checkpoint"))
     writer.trigger(availableNow=True).start().awaitTermination()
@@ -697,7 +703,7 @@ def win_probabilities(t):
 def fitted_response(t):
     from tenderline.models import pricing
 
-    rows = formulas.market(calibration(t)).dropna(subset=["market_inc", "base_logit"])
+    rows = formulas.market(calibration(t))
     model = pricing.fit_response(rows, ["gross_cost_ratio"], ["bid_reason"])
     return model.apply(rows).select("bid_id", "product", F.round("alpha", 6).alias("alpha"), F.round("gamma", 6).alias("gamma"))
 
