@@ -658,7 +658,7 @@ def market_incentives(t):
     from tenderline.models import pricing
 
     rows = calibration(t)
-    fitted = pricing.fit_market(rows, NUMERIC, TEXTUAL, trees=5, depth=4)
+    fitted = pricing.fit_market(rows, NUMERIC, TEXTUAL)
     return pricing.predict_by_mode(rows, fitted).select("bid_id", "product", "mode", F.round("market_inc", 6).alias("market_inc"))
 
 
@@ -667,7 +667,7 @@ def effective_to_offered_gap(t):
     from tenderline.models import pricing
 
     rows = calibration(t)
-    fitted = pricing.fit_gap(rows, NUMERIC, TEXTUAL, rounds=3, depth=3)
+    fitted = pricing.fit_gap(rows, NUMERIC, TEXTUAL)
     return pricing.predict_by_mode(rows, fitted).select("bid_id", "product", F.round("gap", 6).alias("gap"))
 
 
@@ -677,7 +677,7 @@ MATRIX = ({"list_rev": "float64", "gross_cost_ratio": "float64", "major_competit
 def bid_matrix(rows: DataFrame) -> DataFrame:
     from tenderline.models import pricing
 
-    return materialise(pricing.learn_layout(rows, *MATRIX, ["GND_Com", "1DA", "2DA", "Import"]).matrix(rows), "matrix")
+    return materialise(pricing.learn_layout(rows, *MATRIX, list(catalog.PRODUCT_MODES)).matrix(rows), "matrix")
 
 
 @query()
@@ -686,7 +686,7 @@ def base_pull_through(t):
 
     rows = calibration(t)
     matrix = bid_matrix(rows)
-    fitted = pricing.fit_base(rows, matrix, trees=4, depth=3)
+    fitted = pricing.fit_base(rows, matrix)
     return pricing.predict_base(rows, matrix, fitted).select("bid_id", "product", F.round("base_pt", 6).alias("base_pt"), F.round("base_logit", 6).alias("base_logit"))
 
 
@@ -696,7 +696,7 @@ def win_probabilities(t):
 
     rows = calibration(t)
     matrix = bid_matrix(rows)
-    return pricing.fit_win(rows, matrix, trees=4, depth=3).predict(matrix).select("bid_id", F.round("win_probability", 6).alias("win_probability"))
+    return pricing.fit_win(rows, matrix).predict(matrix).select("bid_id", F.round("win_probability", 6).alias("win_probability"))
 
 
 @query()
@@ -714,5 +714,5 @@ def variable_importance(t):
 
     rows = calibration(t)
     variables = catalog.values_frame(t.spark, "variable string", [(v,) for v in NUMERIC + TEXTUAL])
-    models = pricing.fit_market(rows, NUMERIC, TEXTUAL, trees=5, depth=4)
+    models = pricing.fit_market(rows, NUMERIC, TEXTUAL)
     return FM.mean_importance([FM.importance_by_variable(FM.importance(m, rows), variables) for m in models.values()])
