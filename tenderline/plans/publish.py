@@ -110,14 +110,19 @@ def report_lines(results: DataFrame) -> DataFrame:
     return product_lines.unionByName(surcharge_lines)
 
 
+def allowed_updates(quotes: DataFrame, prior: DataFrame, ceiling_services: DataFrame, surcharge_services: DataFrame, holdout: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(updates of bids outside the hold-out, results joined to ceiling services)."""
+    results = with_prior_results(quotes, prior)
+    keys = ["bid_id", "svc_group"]
+    in_scope = results.join(ceiling_services.select(*keys), keys) if "svc_group" in results.columns else results
+    updates = product_updates(in_scope, surcharge_services).unionByName(surcharge_updates(results, surcharge_services))
+    return updates_allowed(F.col("bid_id"), holdout, updates).where("update_on").drop("update_on"), in_scope
+
+
 def publish(quotes: DataFrame, prior: DataFrame, ceiling_services: DataFrame, surcharge_services: DataFrame, holdout: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(new snapshot of the result table, results joined to ceiling services).
 
     Bids in the hold-out keep their old results.
     """
-    results = with_prior_results(quotes, prior)
-    keys = ["bid_id", "svc_group"]
-    in_scope = results.join(ceiling_services.select(*keys), keys) if "svc_group" in results.columns else results
-    updates = product_updates(in_scope, surcharge_services).unionByName(surcharge_updates(results, surcharge_services))
-    allowed = updates_allowed(F.col("bid_id"), holdout, updates).where("update_on").drop("update_on")
+    allowed, in_scope = allowed_updates(quotes, prior, ceiling_services, surcharge_services, holdout)
     return apply_updates(target, allowed), in_scope

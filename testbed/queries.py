@@ -583,7 +583,11 @@ def holdout_gate(t):
 @query("""SELECT bid_id, svc_group, 'UPDATE results SET rec = ' || recommended || ', lo = ' || low || ', hi = ' || high || ' WHERE bid = ''' || bid_id || ''' AND grp = ''' || svc_group || ''' AND typ = ''P''' AS statement
 FROM t_prior WHERE result_type = 'P'""")
 def update_statements(t):
-    return publish.update_statements(t.prior_results.where("result_type = 'P'"), "results", ("rec", "lo", "hi", "bid", "grp", "typ"))
+    prior = weights.prior_results_with_services(t.prior_results, t.ceiling_services, t.service_groups)
+    updates, _ = publish.allowed_updates(quote_rows(t), prior, t.ceiling_services, t.surcharge_services, t.holdout)
+    # only keys that the sink has in rows of type P
+    held = t.prior_results.where("result_type = 'P'").select("bid_id", "svc_group").distinct()
+    return publish.update_statements(updates.join(held, ["bid_id", "svc_group"], "left_semi"), "results", ("rec", "lo", "hi", "bid", "grp", "typ"))
 
 
 @query("SELECT bid_id, CASE WHEN bid_id IN (SELECT bid_id FROM s_quotes) THEN 0 ELSE 1 END AS status FROM t_bids")
