@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenderline.llm import language, merkle, mixture, near, personal, pieces, quality, repeats, template, warc
+from tenderline.llm import bytepairs, language, merkle, mixture, near, personal, pieces, quality, repeats, template, warc
 from tenderline.llm.common import fresh_path, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,17 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digests(table(spark, sf_dir, "documents"))
 
 
+def byte_pair_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op13_bytepairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return bytepairs.digests(table(spark, sf_dir, "documents"), byte_pair_model())
+
+
 def registry() -> dict[str, tuple[Query, str | None]]:
     import corpus_pipeline
 
@@ -82,4 +93,5 @@ def registry() -> dict[str, tuple[Query, str | None]]:
         "op8_pieces": (op8_pieces, None),
         "op9_extract": (op9_extract, None),
         "op10_repeats": (op10_repeats, repeats.REPEATS_SQL),
+        "op13_bytepairs": (op13_bytepairs, None),
     }
