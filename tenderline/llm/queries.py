@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenderline.llm import bytepairs, language, manifest, merkle, mixture, near, personal, pieces, quality, repeats, template, warc
+from tenderline.llm import bytepairs, language, manifest, merkle, mixture, near, personal, pieces, quality, repeats, search, template, warc
 from tenderline.llm.common import fresh_path, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,11 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return manifest.manifest(table(spark, sf_dir, "documents"))
@@ -98,6 +103,7 @@ def registry() -> dict[str, tuple[Query, str | None]]:
         "op8_pieces": (op8_pieces, None),
         "op9_extract": (op9_extract, None),
         "op10_repeats": (op10_repeats, repeats.REPEATS_SQL),
+        "op11_search": (op11_search, search.oracle()),
         "op12_manifest": (op12_manifest, None),
         "op13_bytepairs": (op13_bytepairs, None),
     }
