@@ -597,10 +597,12 @@ def scoring_status(t):
 
 @query(f"""SELECT bid_id, description || ': Inc - ' || CASE surcharge_type WHEN 'RES' THEN resi WHEN 'GDL' THEN das END AS line FROM (SELECT DISTINCT bid_id, description, surcharge_type, resi, das FROM s_quotes WHERE mode = 'ACY')
 UNION ALL SELECT bid_id, product || ': Inc - ' || i || ', Low - ' || l || ', High - ' || h FROM (
-  SELECT DISTINCT bid_id, product, round(freight_incentive, 4) AS i, round(target_low, 4) AS l, round(target_high, 4) AS h FROM s_quotes WHERE mode <> 'ACY' AND freight_incentive IS NOT NULL)""")
+  SELECT DISTINCT bid_id, product, floor(freight_incentive * 10000 + 0.5) / 10000 AS i, floor(target_low * 10000 + 0.5) / 10000 AS l,
+    floor(target_high * 10000 + 0.5) / 10000 AS h FROM s_quotes WHERE mode <> 'ACY' AND freight_incentive IS NOT NULL)""")
 def report_lines(t):
     rows = quote_rows(t).where((F.col("mode") == catalog.SURCHARGE_MODE) | F.col("freight_incentive").isNotNull())
-    return publish.report_lines(rows.withColumns({c: F.round(c, 4) for c in ("freight_incentive", "target_low", "target_high")}))
+    # Ten-thousandths, half up, on the double itself: the same operations in Spark and in the check SQL.
+    return publish.report_lines(rows.withColumns({c: F.floor(F.col(c) * 10000 + 0.5) / 10000 for c in ("freight_incentive", "target_low", "target_high")}))
 
 
 @query()
