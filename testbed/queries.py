@@ -580,14 +580,19 @@ def holdout_gate(t):
     return publish.updates_allowed(F.col("bid_id"), t.holdout, t.bids.select("bid_id"))
 
 
-@query("""SELECT bid_id, svc_group, 'UPDATE results SET rec = ' || recommended || ', lo = ' || low || ', hi = ' || high || ' WHERE bid = ''' || bid_id || ''' AND grp = ''' || svc_group || ''' AND typ = ''P''' AS statement
-FROM t_prior WHERE result_type = 'P'""")
+@query("""SELECT u.bid_id, u.svc_group, 'UPDATE results SET rec = ' || floor(u.recommended * 1000000 + 0.5) / 1000000 || ', lo = ' || floor(u.low * 1000000 + 0.5) / 1000000
+  || ', hi = ' || floor(u.high * 1000000 + 0.5) / 1000000 || ' WHERE bid = ''' || u.bid_id || ''' AND grp = ''' || u.svc_group || ''' AND typ = ''P''' AS statement
+FROM (SELECT * FROM s_updates UNION ALL SELECT bid_id, svc_group, recommended, recommended, recommended FROM s_surch_updates) u
+  LEFT JOIN t_holdout h ON h.digit = CAST(right(u.bid_id, 1) AS INT)
+WHERE coalesce(h.is_on, true) AND EXISTS (SELECT 1 FROM t_prior p WHERE p.result_type = 'P' AND p.bid_id = u.bid_id AND p.svc_group = u.svc_group)""")
 def update_statements(t):
     prior = weights.prior_results_with_services(t.prior_results, t.ceiling_services, t.service_groups)
     updates, _ = publish.allowed_updates(quote_rows(t), prior, t.ceiling_services, t.surcharge_services, t.holdout)
     # only keys that the sink has in rows of type P
     held = t.prior_results.where("result_type = 'P'").select("bid_id", "svc_group").distinct()
-    return publish.update_statements(updates.join(held, ["bid_id", "svc_group"], "left_semi"), "results", ("rec", "lo", "hi", "bid", "grp", "typ"))
+    # Millionths, half up, on the double itself: the same operations in Spark and in the check SQL.
+    rounded = updates.withColumns({c: F.floor(F.col(c) * 1000000 + 0.5) / 1000000 for c in ("recommended", "low", "high")})
+    return publish.update_statements(rounded.join(held, ["bid_id", "svc_group"], "left_semi"), "results", ("rec", "lo", "hi", "bid", "grp", "typ"))
 
 
 @query("SELECT bid_id, CASE WHEN bid_id IN (SELECT bid_id FROM s_quotes) THEN 0 ELSE 1 END AS status FROM t_bids")
