@@ -23,7 +23,10 @@ exactly; all others cannot enter the top 10 (a bound below theta is below 10 kno
 the result is exact. Exact scoring scans the bucket's inverted lists of the item's terms and sums
 w * imp in 64-bit integers per (item, document).
 
-Scale: postings are built by one aggregate; df by a map-side combined count; the term join of
+Scale: occurrences of terms that no item uses are dropped by a semi join with the items'
+vocabulary (a stated query set) before any shuffle; postings are then built by one aggregate and
+written, which also fixes row numbers; df is a map-side combined count; N and L are sums of array
+sizes in one aggregate; the term join of
 items with bucket maxima is salted over ``SALT`` slices, so a term in every bucket and every item
 is spread; every exact join is keyed by (bucket, term), at most a bucket of rows per key; the top
 10 per item are taken in two steps (per item and hash slice, then per item) so no item's
@@ -76,16 +79,20 @@ def _exact(pairs: DataFrame, weights: DataFrame, postings: DataFrame) -> DataFra
 
 def search(docs: DataFrame, items: DataFrame) -> DataFrame:
     """item_id, rank (1..10), doc_id, score: each item's best documents with score above 0."""
-    rows = written(docs.select(F.col("doc_id"), terms(F.col("text")).alias("terms")).withColumn("row", F.monotonically_increasing_id()), "search-terms")
-    totals = rows.agg(F.count(F.when(F.size("terms") > 0, 1)).alias("n_docs"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("n_terms")).first()
+    found_terms = docs.select(F.col("doc_id"), terms(F.col("text")).alias("terms"))
+    totals = found_terms.agg(F.count(F.when(F.size("terms") > 0, 1)).alias("n_docs"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("n_terms")).first()
     big_n, big_l = int(totals["n_docs"]), int(totals["n_terms"])
     keyed = written(items.select("item_id").distinct().withColumn("q", F.monotonically_increasing_id()), "search-keys")
     found = items.select(F.col("item_id").alias("key"), F.explode(terms(F.col("text"))).alias("term"))
     queries = written(found.join(keyed, F.col("key").eqNullSafe(keyed["item_id"])).select("item_id", "q", "term").distinct(), "search-items")
     if big_n == 0:
         return queries.select("item_id", F.lit(0).alias("rank"), F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("score")).limit(0)
+    # Only terms that some item uses matter for df, tf and impacts: they are kept before any shuffle.
     vocabulary = queries.select("term").distinct()
-    counts = rows.select("row", "doc_id", F.size("terms").cast("long").alias("n"), F.explode("terms").alias("term")).groupBy("row", "doc_id", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
+    occurrences = found_terms.withColumn("row", F.monotonically_increasing_id()).select(
+        "row", "doc_id", F.size("terms").cast("long").alias("n"), F.explode("terms").alias("term")
+    ).join(vocabulary, "term", "left_semi")
+    counts = written(occurrences.groupBy("row", "doc_id", "n", "term").agg(F.count(F.lit(1)).alias("tf")), "search-counts")
     frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weights = written(
         queries.join(frequency, "term", "left").select(
@@ -95,7 +102,7 @@ def search(docs: DataFrame, items: DataFrame) -> DataFrame:
         "search-weights",
     )
     m = F.lit(10) + F.expr(f"(90 * n * {big_n}) div {big_l}")
-    impacts = counts.join(vocabulary, "term", "left_semi").select("row", "doc_id", "term", "tf", m.alias("m"))
+    impacts = counts.select("row", "doc_id", "term", "tf", m.alias("m"))
     impacts = impacts.select("row", "doc_id", "term", F.expr("(1000000000 * tf) div (1000 * tf + 8 * m)").alias("imp"))
     norms = impacts.groupBy("row").agg(F.sqrt(F.sum(F.col("imp").cast("double") * F.col("imp"))).alias("norm"))
     norms = norms.withColumn("class", F.coalesce(F.floor(F.log(GROWTH, F.col("norm"))).cast("long"), F.lit(-1000)))
