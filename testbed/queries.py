@@ -584,11 +584,12 @@ def holdout_gate(t):
   || ', hi = ' || floor(u.high * 1000000 + 0.5) / 1000000 || ' WHERE bid = ''' || u.bid_id || ''' AND grp = ''' || u.svc_group || ''' AND typ = ''P''' AS statement
 FROM (SELECT * FROM s_updates UNION ALL SELECT bid_id, svc_group, recommended, recommended, recommended FROM s_surch_updates) u
   LEFT JOIN t_holdout h ON h.digit = CAST(right(u.bid_id, 1) AS INT)
-WHERE coalesce(h.is_on, true) AND EXISTS (SELECT 1 FROM t_prior p WHERE p.result_type = 'P' AND p.bid_id = u.bid_id AND p.svc_group = u.svc_group)""")
+WHERE coalesce(h.is_on, true) AND u.recommended IS NOT NULL
+  AND EXISTS (SELECT 1 FROM t_prior p WHERE p.result_type = 'P' AND p.bid_id = u.bid_id AND p.svc_group = u.svc_group)""")
 def update_statements(t):
     prior = weights.prior_results_with_services(t.prior_results, t.ceiling_services, t.service_groups)
     updates, _ = publish.allowed_updates(quote_rows(t), prior, t.ceiling_services, t.surcharge_services, t.holdout)
-    # only keys that the sink has in rows of type P
+    # only keys that the sink has in rows of type P; an update without values changes nothing and has no statement
     held = t.prior_results.where("result_type = 'P'").select("bid_id", "svc_group").distinct()
     # Millionths, half up, on the double itself: the same operations in Spark and in the check SQL.
     rounded = updates.withColumns({c: F.floor(F.col(c) * 1000000 + 0.5) / 1000000 for c in ("recommended", "low", "high")})
