@@ -145,3 +145,39 @@ def test_rows_without_an_objective_get_the_clamped_market(frame):
         r = got[key]
         want = None if r.market_inc is None else min(max(r.market_inc, r.l_floor), r.ceiling)
         assert r.flag == -1 and r.optimal_inc == want, key
+
+
+def test_search_makes_no_rows_of_grid_points_and_places_rows_once(frame):
+    rows = bounded(frame, [row("a", "1DA"), row("a", "2DA"), row("a", "GND_Com")])
+    text = optimise.optimise(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in text and "Join" not in text and text.count("Exchange") == 1
+
+
+def test_ties_on_the_grid_go_to_the_last_points(frame):
+    # no revenue and no cost: every point is worth 0
+    rows = bounded(frame, [row("a", p, rev=0.0, cost=0.0) for p in catalog.AIR_FAMILY] + [row("b", "GND_Com", rev=0.0, cost=0.0)])
+    got = {(r.bid_id, r["product"]): r for r in optimise.optimise(rows, 50).collect()}
+    assert got["b", "GND_Com"].best_k == got["a", "3DA"].best_k == 50
+    for low, high in (("1DA", "2DA"), ("2DA", "3DA")):
+        a, b = got["a", low], got["a", high]
+        limit = b.ratio * b.optimal_inc + 1 - b.ratio + 1e-9
+        x = [a.lower + (a.cap - a.lower) * k / 50 for k in range(51)]
+        assert a.best_k == max(k for k in range(51) if x[k] <= limit)
+
+
+def test_rows_without_a_key_have_no_result(frame):
+    rows = bounded(frame, [row("a", "GND_Com"), row(None, "GND_Com")])
+    assert [r.bid_id for r in optimise.optimise(rows, 20).collect()] == ["a"]
+
+
+def test_objective_on_arrays_is_the_column_objective(frame):
+    import numpy as np
+
+    from tenderline.functions.objective import NUMBERS, objective, objective_at
+
+    random.seed(5)
+    rows = bounded(frame, [row(f"B{i}", "GND_Com", random.uniform(0.1, 0.9), random.uniform(-3, 3), random.uniform(-12, 2), random.uniform(1, 1e5), random.uniform(0, 9e4)) for i in range(50)])
+    for r in rows.withColumn("x", F.lit(0.37)).withColumn("v", objective("x").total).withColumn("out", objective(F.lit(1.5)).total).collect():
+        numbers = [np.array([[r[name]]]) for name in NUMBERS]
+        assert objective_at(np.array([[0.37]]), *numbers)[0, 0] == pytest.approx(r.v, rel=1e-12)
+        assert r.out is None and np.isnan(objective_at(np.array([[1.5]]), *numbers)[0, 0])
