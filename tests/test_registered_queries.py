@@ -49,3 +49,14 @@ def test_model_queries_fit_whole_models(monkeypatch, name, query, sizes):
 def test_bid_matrix_has_all_products(monkeypatch):
     given = called_with(monkeypatch, "learn_layout", lambda: Q.bid_matrix(None))
     assert given["products"] == list(catalog.PRODUCT_MODES)
+
+
+def test_calibration_rows_are_made_once(spark, monkeypatch):
+    from tenderline.models import preprocess
+    from testbed.tables import Tables
+
+    given, fit = [], preprocess.fit_imputer
+    monkeypatch.setattr(preprocess, "fit_imputer", lambda rows, numeric: given.append(rows) or fit(rows, numeric))
+    rows = Q.calibration(Tables(spark, "/root/testdata/sf0.001"))
+    for df in (given[0], rows):
+        assert df.inputFiles() and all("/calibration-" in f for f in df.inputFiles())
