@@ -41,6 +41,11 @@ def test_bid_features_add_no_exchange_to_products(t):
     assert count(features) <= count(products) + count(headers) + 1
 
 
+def test_features_that_nobody_reads_are_not_summed(t):
+    text = plan(Q.feature_table(t))
+    assert "sum(list_rev" in text and "sum(target_high_rev" not in text and "sum(density_rev" not in text
+
+
 def test_entry_and_registry_agree(spark):
     import __spark_entry__ as E
 
