@@ -41,6 +41,20 @@ def test_bid_features_add_no_exchange_to_products(t):
     assert count(features) <= count(products) + count(headers) + 1
 
 
+def test_lines_are_placed_by_bid_once_and_stay_there(spark):
+    """Groupings and joins of lines by bid and more shuffle nothing again; as at scale, nothing is broadcast."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        text = plan(Q.products(Tables(spark, SMALL)))
+    finally:
+        spark.conf.set(key, before)
+    placed = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text)
+    # service groups, surcharge services, target prices twice, volumes and their orders
+    assert len(placed) == 6 and all(re.fullmatch(r"bid_id#\d+", keys) for keys in placed)
+
+
 def test_features_that_nobody_reads_are_not_summed(t):
     text = plan(Q.feature_table(t))
     assert "sum(list_rev" in text and "sum(target_high_rev" not in text and "sum(density_rev" not in text
