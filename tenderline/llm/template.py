@@ -4,7 +4,7 @@ Tokens of a page are its elements by path (names with class, id and role) and it
 path and content. A token's occurrence vector over the pages of a host is how often each page has
 it. Tokens with equal vectors form a class. Classes that enough pages have are valid: elements
 that stand once on every page that has them form frames, repeated ones are lists that nest inside
-the frame above them, and blocks of a valid class are fixed text. The deepest frames above the
+the frame above them, and blocks that share their class with an element around them are fixed text. The deepest frames above the
 remaining blocks are the slots of the host's template. The main slots are those of an article or
 main element, or else the slot with the most text outside links; the text of a page is what its
 blocks in main slots hold, without parts that their names mark as menus, notices, comments and
@@ -183,9 +183,12 @@ def deduce(tokens: list[dict], pages: int) -> dict:
             classes[token["pages"], token["first"], token["second"]].append(token)
     frames, lists, fixed = set(), set(), set()
     for own in classes.values():
+        elements = {token["path"] for token in own if not token["mark"]}
         for token in own:
             if token["mark"]:
-                fixed.add(f"{token['path']}\0{token['mark']}")
+                # fixed text comes and goes with an element around it; other frequent text is what fills one
+                if slot_of(token["path"], elements) is not None:
+                    fixed.add(f"{token['path']}\0{token['mark']}")
             elif token["times"] == token["pages"]:
                 frames.add(token["path"])
             else:

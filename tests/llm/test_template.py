@@ -72,3 +72,16 @@ def test_defined_cases(spark):
     got = sorted([(r.page_id, r.url, r.text) for r in template.extract(pages).collect()], key=str)
     assert got == sorted([(1, "http://a.b/c", ""), (2, None, "x"), (2, None, "x"), (3, "not a url", ""), (None, "http://A.b:80/", "y")], key=str)
     assert template.extract(pages.limit(0)).count() == 0
+
+
+def test_fixed_text_shares_its_class_with_an_element_around_it():
+    def token(path, mark, pages, vector, chars=0):
+        return {"path": path, "mark": mark, "pages": pages, "times": pages, "first": vector, "second": vector, "chars": chars, "links": 0}
+
+    tokens = [
+        token("html", 0, 10, 1), token("html/body", 0, 10, 1, 900), token("html/body/div.box", 0, 4, 2),
+        token("html/body", 11, 10, 1),  # on all pages, as body
+        token("html/body/div.box", 12, 4, 2),  # wherever the box is
+        token("html/body", 13, 4, 3),  # on other pages than any element around it: what some pages say
+    ]
+    assert template.deduce(tokens, 10)["fixed"] == ["html/body\x0011", "html/body/div.box\x0012"]
