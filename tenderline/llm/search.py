@@ -28,9 +28,9 @@ vocabulary (a stated query set) before any shuffle; postings are then built by o
 written, which also fixes row numbers; df is a map-side combined count; N and L are sums of array
 sizes in one aggregate; the term join of
 items with bucket maxima is salted over ``SALT`` slices, so a term in every bucket and every item
-is spread; every exact join is keyed by (bucket, term), at most a bucket of rows per key; the top
-10 per item are taken in two steps (per item and hash slice, then per item) so no item's
-candidates meet in one task. The norm classes (a few dozen rows) are the only rows on the driver.
+is spread; every exact join is placed by bucket, at most a bucket of rows, where scores below theta
+and those behind a bucket's 10 best for an item are dropped at once; the top 10 per item are then
+taken in two steps (per item and hash slice, then per item) so no item's candidates meet in one task. The norm classes (a few dozen rows) are the only rows on the driver.
 
 Defined cases: a null or term-less text has no terms (not counted in N); queries are item_ids,
 with the distinct terms of all their rows (a null item_id is one item); an item without terms, or
@@ -62,19 +62,30 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(TERM), 0)
 
 
+def _order() -> list[Column]:
+    return [F.col("score").desc(), F.col("doc_id").asc_nulls_first(), F.col("row").asc()]
+
+
 def _top(scored: DataFrame, key: str) -> DataFrame:
     """The TOP rows per ``key`` by score descending, doc_id, row; in two steps."""
-    order = [F.col("score").desc(), F.col("doc_id").asc_nulls_first(), F.col("row").asc()]
     first = scored.withColumn("slice", F.pmod(F.xxhash64("row"), F.lit(SALT)))
-    first = first.withColumn("r", F.row_number().over(Window.partitionBy(key, "slice").orderBy(*order))).where(f"r <= {TOP}").drop("r", "slice")
-    return first.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(f"rank <= {TOP}")
+    first = first.withColumn("r", F.row_number().over(Window.partitionBy(key, "slice").orderBy(*_order()))).where(f"r <= {TOP}").drop("r", "slice")
+    return first.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*_order()))).where(f"rank <= {TOP}")
 
 
 def _exact(pairs: DataFrame, weights: DataFrame, postings: DataFrame) -> DataFrame:
-    """Exact scores of the (q, bucket) pairs: scans of the bucket's lists of the item's terms."""
-    lists = pairs.join(weights, "q").select("q", "bucket", "term", "w")
-    hits = lists.join(postings, ["bucket", "term"]).select("q", "row", "doc_id", (F.col("w") * F.col("imp")).alias("part"))
-    return hits.groupBy("q", "row", "doc_id").agg(F.sum("part").alias("score"))
+    """Exact scores of the (q, bucket, theta) pairs that reach theta, at most TOP per pair.
+
+    Scans the bucket's lists of the item's terms. Lists and postings are placed by bucket, and a row
+    is in one bucket, so the parts of its score are summed and ranked where they are made: they
+    outnumber everything else and are never shuffled.
+    """
+    lists = pairs.join(weights, "q").select("q", "bucket", "theta", "term", "w").repartition("bucket")
+    placed = postings.select("bucket", "term", "row", "doc_id", "imp").repartition("bucket")
+    hits = lists.join(placed, ["bucket", "term"])
+    scored = hits.groupBy("bucket", "q", "theta", "row", "doc_id").agg(F.sum(F.col("w") * F.col("imp")).alias("score")).where("score >= theta")
+    own = Window.partitionBy("bucket", "q").orderBy(*_order())
+    return scored.withColumn("r", F.row_number().over(own)).where(f"r <= {TOP}").select("q", "row", "doc_id", "score")
 
 
 def search(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -85,6 +96,8 @@ def search(docs: DataFrame, items: DataFrame) -> DataFrame:
     keyed = written(items.select("item_id").distinct().withColumn("q", F.monotonically_increasing_id()), "search-keys")
     found = items.select(F.col("item_id").alias("key"), F.explode(terms(F.col("text"))).alias("term"))
     queries = written(found.join(keyed, F.col("key").eqNullSafe(keyed["item_id"])).select("item_id", "q", "term").distinct(), "search-items")
+    # joins by bucket and term then use that rows are placed by bucket (see _exact)
+    docs.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     if big_n == 0:
         return queries.select("item_id", F.lit(0).alias("rank"), F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("score")).limit(0)
     # Only terms that some item uses matter for df, tf and impacts: they are kept before any shuffle.
@@ -127,13 +140,13 @@ def search(docs: DataFrame, items: DataFrame) -> DataFrame:
     order = Window.partitionBy("q", "slice").orderBy(F.col("bound").desc(), "bucket")
     best = bounds.withColumn("slice", F.pmod(F.col("bucket"), F.lit(SALT))).withColumn("r", F.row_number().over(order)).where(f"r <= {FIRST_BUCKETS}")
     best = best.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.col("bound").desc(), "bucket"))).where(f"r <= {FIRST_BUCKETS}").select("q", "bucket")
-    first = written(_exact(best, weights, postings), "search-first")
-    theta = _top(first.where("score > 0"), "q").groupBy("q").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("tenth"))
-    theta = theta.select("q", F.when(F.col("found") >= TOP, F.col("tenth")).otherwise(F.lit(1)).alias("theta"))
-    rest = bounds.join(best, ["q", "bucket"], "left_anti").join(theta, "q", "left")
-    rest = rest.where(F.col("bound") >= F.coalesce(F.col("theta"), F.lit(1))).select("q", "bucket")
-    scored = first.unionByName(_exact(rest, weights, postings)).where("score > 0")
-    top = _top(scored, "q")
+    least = F.lit(1).cast("long")  # of a score above 0
+    first = written(_top(_exact(best.withColumn("theta", least), weights, postings), "q").drop("rank"), "search-first")
+    theta = first.groupBy("q").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("tenth"))
+    theta = theta.select("q", F.when(F.col("found") >= TOP, F.col("tenth")).otherwise(least).alias("theta"))
+    rest = bounds.join(best, ["q", "bucket"], "left_anti").join(theta, "q", "left").withColumn("theta", F.coalesce("theta", least))
+    rest = rest.where(F.col("bound") >= F.col("theta")).select("q", "bucket", "theta")
+    top = _top(first.unionByName(_exact(rest, weights, postings)), "q")
     return top.join(keyed, "q").select(keyed["item_id"], F.col("rank").cast("int"), "doc_id", F.col("score").cast("long"))
 
 
