@@ -30,7 +30,8 @@ sizes in one aggregate; the term join of
 items with bucket maxima is salted over ``SALT`` slices, so a term in every bucket and every item
 is spread; every exact join is placed by bucket, at most a bucket of rows, where scores below theta
 and those behind a bucket's 10 best for an item are dropped at once; the top 10 per item are then
-taken in two steps (per item and hash slice, then per item) so no item's candidates meet in one task. The norm classes (a few dozen rows) are the only rows on the driver.
+taken in two steps (per item and hash slice, then per item) so no item's candidates meet in one
+task. The norm classes (a few dozen rows) are the only rows on the driver.
 
 Defined cases: a null or term-less text has no terms (not counted in N); queries are item_ids,
 with the distinct terms of all their rows (a null item_id is one item); an item without terms, or

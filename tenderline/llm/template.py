@@ -4,11 +4,12 @@ Tokens of a page are its elements by path (names with class, id and role) and it
 path and content. A token's occurrence vector over the pages of a host is how often each page has
 it. Tokens with equal vectors form a class. Classes that enough pages have are valid: elements
 that stand once on every page that has them form frames, repeated ones are lists that nest inside
-the frame above them, and blocks that share their class with an element around them are fixed text. The deepest frames above the
-remaining blocks are the slots of the host's template. The main slots are those of an article or
-main element, or else the slot with the most text outside links; the text of a page is what its
-blocks in main slots hold, without parts that their names mark as menus, notices, comments and
-the like. A page that does not fill its host's template is read by a template of its own.
+the frame above them, and blocks that share their class with an element around them are fixed
+text. The deepest frames above the remaining blocks are the slots of the host's template. The main
+slots are those of an article or main element, or else the slot with the most text outside links;
+the text of a page is what its blocks in main slots hold, without parts that their names mark as
+menus, notices, comments and the like. A page that does not fill its host's template is read by a
+template of its own.
 
 Scale: vectors are never held. Per (host, token) the pages, occurrences and two sums of hashes of
 (page, occurrences) are map-side combined; equal sums mean equal vectors. Only tokens of a quarter
