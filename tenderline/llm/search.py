@@ -25,8 +25,8 @@ w * imp in 64-bit integers per (item, document).
 
 Scale: occurrences of terms that no item uses are dropped by a semi join with the items'
 vocabulary (a stated query set) before any shuffle; postings are then built by one aggregate and
-written, which also fixes row numbers; df is a map-side combined count; N and L are sums of array
-sizes in one aggregate; the term join of
+written, which also fixes row numbers; df is a map-side combined count; texts are read once, as every
+document also has a posting of ``MARK``, whose term counts give N and L; the term join of
 items with bucket maxima is salted over ``SALT`` slices, so a term in every bucket and every item
 is spread; every exact join is placed by bucket, at most a bucket of rows, where scores below theta
 and those behind a bucket's 10 best for an item are dropped at once; the top 10 per item are then
@@ -55,6 +55,8 @@ FIRST_BUCKETS = 4
 SALT = 64
 #: Fixed value: the characters that end a term (ASCII but letters and digits).
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Posting of every document, with or without terms; no term is empty.
+MARK = ""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -92,21 +94,22 @@ def _exact(pairs: DataFrame, weights: DataFrame, postings: DataFrame) -> DataFra
 def search(docs: DataFrame, items: DataFrame) -> DataFrame:
     """item_id, rank (1..10), doc_id, score: each item's best documents with score above 0."""
     found_terms = docs.select(F.col("doc_id"), terms(F.col("text")).alias("terms"))
-    totals = found_terms.agg(F.count(F.when(F.size("terms") > 0, 1)).alias("n_docs"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("n_terms")).first()
-    big_n, big_l = int(totals["n_docs"]), int(totals["n_terms"])
     keyed = written(items.select("item_id").distinct().withColumn("q", F.monotonically_increasing_id()), "search-keys")
     found = items.select(F.col("item_id").alias("key"), F.explode(terms(F.col("text"))).alias("term"))
     queries = written(found.join(keyed, F.col("key").eqNullSafe(keyed["item_id"])).select("item_id", "q", "term").distinct(), "search-items")
     # joins by bucket and term then use that rows are placed by bucket (see _exact)
     docs.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    if big_n == 0:
-        return queries.select("item_id", F.lit(0).alias("rank"), F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("score")).limit(0)
     # Only terms that some item uses matter for df, tf and impacts: they are kept before any shuffle.
-    vocabulary = queries.select("term").distinct()
+    vocabulary = queries.select("term").unionByName(docs.sparkSession.range(1).select(F.lit(MARK).alias("term"))).distinct()
     occurrences = found_terms.withColumn("row", F.monotonically_increasing_id()).select(
-        "row", "doc_id", F.size("terms").cast("long").alias("n"), F.explode("terms").alias("term")
+        "row", "doc_id", F.size("terms").cast("long").alias("n"), F.explode(F.concat(F.array(F.lit(MARK)), "terms")).alias("term")
     ).join(vocabulary, "term", "left_semi")
     counts = written(occurrences.groupBy("row", "doc_id", "n", "term").agg(F.count(F.lit(1)).alias("tf")), "search-counts")
+    totals = counts.where(F.col("term") == MARK).agg(F.count(F.when(F.col("n") > 0, 1)).alias("n_docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_terms")).first()
+    big_n, big_l = int(totals["n_docs"]), int(totals["n_terms"])
+    if big_n == 0:
+        return queries.select("item_id", F.lit(0).alias("rank"), F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("score")).limit(0)
+    counts = counts.where(F.col("term") != MARK)
     frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weights = written(
         queries.join(frequency, "term", "left").select(

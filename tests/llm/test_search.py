@@ -66,6 +66,21 @@ def test_empty_tables(spark):
     assert got(spark, [(1, None, "en")], [(1, "a")]) == []
 
 
+def test_documents_are_read_once(spark):
+    docs, items = corpus(60)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    d = spark.createDataFrame(docs, DOCS).mapInArrow(counted, DOCS)
+    rows = [tuple(r) for r in search.search(d, spark.createDataFrame(items, ITEMS)).collect()]
+    assert sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1])) == brute(docs, items)
+    assert read.value == len(docs)
+
+
 def test_real_tables(spark):
     sf = "/root/testdata/sf0.001"
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()]
