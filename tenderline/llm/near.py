@@ -13,8 +13,10 @@ as sharing ceil(3 (|A| + |B|) / 7) shingles. Equal sets are one set from the sta
 Only the groups are asked for, so lists need not be expanded into all pairs: in up to four rounds each
 list tests its members against one leader, groups are formed, and lists within one group are laid
 aside; a round without a link ends this. A last exact round tests the pairs of each list that
-still lie in different groups. There, lists of many members are cut into
-blocks and use parity bitmaps, whose difference can only underestimate the sets' difference.
+still lie in different groups. There, lists of many members are cut into blocks that meet in twos;
+parity bitmaps, whose difference can only underestimate the sets' difference, tell which members may
+link, and those meet again with their sets and give only the links that join groups: less than one
+per member, however many pairs of the group link. Shorter lists give their pairs.
 
 Scale: texts are read twice to hash shingles. Pairs are first compared by bitmaps of a few hundred
 bytes; only for pairs that these leave, texts are shuffled, once per round, and their sets made
@@ -30,7 +32,7 @@ with each other; rows with a null id take the smallest id of their group, null i
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations, groupby
 from math import ceil, comb
 
 import numpy as np
@@ -44,8 +46,11 @@ CELLS, BLOCKS = 1 << 18, 256
 #: Sizes considered for enumeration, and what a posting costs against an enumerated subset.
 LARGEST_ENUMERATED, POSTING_COST = 24, 8
 #: Members of a list above which the exact round uses bitmaps, and per block of such a list.
-LONG_LIST, BLOCK = 256, 4096
+LONG_LIST, BLOCK = 256, 1024
 ROUNDS = 4
+#: Rows of short lists paired at a time, and the columns of a member of a long list.
+CHUNK_ROWS = 1 << 16
+LONG = ["key", "low", "high", "block", "set", "n", "need", "label"]
 
 
 def needed(n: int, m: int) -> int:
@@ -217,63 +222,121 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([picked.column(0), picked.column(1)], names=["a", "b"])
 
 
-def _pairs_between_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs in different groups of each (list, block, block), from rows sorted by those three.
+def _worth_a_test(n: np.ndarray, m: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes that meet under a key may link."""
+    return (4 * np.minimum(n, m) >= 3 * np.maximum(n, m)) & ((need == 0) | (7 * need >= 3 * (n + m)))
 
-    Columns: key, low, high, block, set, n, need, label, bits (null in short lists).
-    """
-    def pairs(rows: list[tuple]) -> np.ndarray:
-        low, high = rows[0][1], rows[0][2]
-        block, name, n, need, label = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(3, 8))
-        width = np.array([len(r[8]) if r[8] is not None else 0 for r in rows])
-        found = []
-        for u in np.unique(width):
-            for v in np.unique(width):
-                if v < u or v > 2 * u and u:
-                    continue
-                left, right = np.flatnonzero(width == u), np.flatnonzero(width == v)
-                bits = None
-                if u:
-                    bits = np.frombuffer(b"".join(rows[i][8] for i in left), dtype=np.uint8).reshape(len(left), -1)
-                    others = _folded(np.frombuffer(b"".join(rows[i][8] for i in right), dtype=np.uint8).reshape(len(right), -1), u)
-                    bits, others = bits.view(np.uint64), np.ascontiguousarray(others).view(np.uint64)
-                for p, i in enumerate(left):
-                    j = right[right > i] if u == v else right
-                    at = np.flatnonzero(right > i) if u == v else np.arange(len(right))
-                    total = n[i] + n[j]
-                    fine = (label[j] != label[i]) & (4 * np.minimum(n[i], n[j]) >= 3 * np.maximum(n[i], n[j]))
-                    fine &= (need[i] == 0) | (7 * need[i] >= 3 * total)
-                    if low != high:
-                        fine &= block[j] != block[i]
-                    j, at, total = j[fine], at[fine], total[fine]
-                    if u and len(j):
-                        near = 7 * np.bitwise_count(others[at] ^ bits[p]).sum(axis=1, dtype=np.int64) <= total
-                        j = j[near]
-                    if len(j):
-                        found.append(np.stack((np.minimum(name[i], name[j]), np.maximum(name[i], name[j])), axis=1))
-        return np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+
+def _pairs_between_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) in different groups of each short list, from rows (key, set, n, need, label) sorted by key."""
+    def pairs(key, name, n, need, label) -> list[np.ndarray]:
+        found, step, i = [], 1, np.arange(len(key))
+        while len(i):  # the lists that still have a member this many places on
+            i = i[i + step < len(key)]
+            i = i[key[i] == key[i + step]]
+            j = i + step
+            fine = (label[i] != label[j]) & _worth_a_test(n[i], n[j], need[i])
+            if fine.any():
+                x, y = name[i[fine]], name[j[fine]]
+                found.append(np.stack((np.minimum(x, y), np.maximum(x, y)), axis=1))
+            step += 1
+        return found
 
     def out(found: list[np.ndarray]) -> pa.RecordBatch:
         both = np.unique(np.concatenate(found), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
 
-    run: list[tuple] = []
-    found: list[np.ndarray] = []
-    waiting = 0
-    for batch in batches:
-        for row in zip(*[batch.column(i).to_pylist() for i in range(9)]):
-            if run and row[:3] != run[0][:3]:
-                found.append(pairs(run))
-                waiting += len(found[-1])
-                run = []
-            run.append(row)
-        if waiting > 200_000:
+    held: list[list[np.ndarray]] = []
+    size, found, waiting = 0, [], 0
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            held.append([column.to_numpy(zero_copy_only=False).astype(np.int64) for column in batch.columns])
+            size += batch.num_rows
+            if size < CHUNK_ROWS:
+                continue
+        if size:
+            rows = [np.concatenate(c) for c in zip(*held)]
+            done = size if batch is None else int(np.searchsorted(rows[0], rows[0][-1]))  # the last list may go on
+            made = pairs(*[c[:done] for c in rows])
+            held, size = [[c[done:] for c in rows]], size - done
+            found += made
+            waiting += sum(map(len, made))
+        if found and (batch is None or waiting > 200_000):
             yield out(found)
             found, waiting = [], 0
-    if run:
-        found.append(pairs(run))
-    if found:
-        yield out(found)
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of each (key, low, high), from rows that begin with and are sorted by those three."""
+    rows = (row for batch in batches for row in zip(*[column.to_pylist() for column in batch.columns]))
+    for _, run in groupby(rows, key=lambda row: row[:3]):
+        yield list(run)
+
+
+def _near_members(run: list[tuple], bitmaps: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, all j) of a run's members in different groups whose bitmaps do not rule a link out, each pair once.
+
+    Rows begin with key, low, high, block, set, n, need, label.
+    """
+    low, high = run[0][1], run[0][2]
+    block, _, n, need, label = (np.array([row[i] for row in run], dtype=np.int64) for i in range(3, 8))
+    width = np.array([len(b) for b in bitmaps])
+    for u in np.unique(width):
+        for v in np.unique(width):
+            if v < u or v > 2 * u:
+                continue
+            left, right = np.flatnonzero(width == u), np.flatnonzero(width == v)
+            bits, others = (np.frombuffer(b"".join(bitmaps[i] for i in side), dtype=np.uint8).reshape(len(side), -1) for side in (left, right))
+            bits, others = bits.view(np.uint64), np.ascontiguousarray(_folded(others, u)).view(np.uint64)
+            for p, i in enumerate(left):
+                at = np.flatnonzero(right > i) if u == v else np.arange(len(right))
+                j = right[at]
+                fine = (label[j] != label[i]) & _worth_a_test(n[i], n[j], need[i])
+                if low != high:
+                    fine &= block[j] != block[i]
+                j, at = j[fine], at[fine]
+                if len(j):
+                    j = j[7 * np.bitwise_count(others[at] ^ bits[p]).sum(axis=1, dtype=np.int64) <= n[i] + n[j]]
+                if len(j):
+                    yield int(i), j
+
+
+def _members_to_test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each (key, low, high) without their bitmaps that may link with another of them.
+
+    Columns: key, low, high, block, set, n, need, label, bits.
+    """
+    types = [pa.int64(), *[pa.int32()] * 3, pa.int64(), *[pa.int32()] * 2, pa.int64()]
+    for run in _runs(batches):
+        near = np.zeros(len(run), dtype=bool)
+        for i, j in _near_members(run, [row[8] for row in run]):
+            near[i] = near[j] = True
+        kept = [run[i] for i in np.flatnonzero(near)]
+        yield pa.RecordBatch.from_arrays([pa.array([row[c] for row in kept], type=t) for c, t in enumerate(types)], names=LONG)
+
+
+def _links_between_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of each (key, low, high), as few as join the same groups: less than one a row.
+
+    Columns: key, low, high, block, set, n, need, label, members.
+    """
+    for run in _runs(batches):
+        sets = [np.frombuffer(row[8], dtype=np.uint64) for row in run]
+        parent = {row[7]: row[7] for row in run}
+
+        def root(label: int) -> int:
+            while parent[label] != label:
+                parent[label] = label = parent[parent[label]]
+            return label
+
+        links = []
+        for i, others in _near_members(run, [bitmap(own) for own in sets]):
+            for j in others.tolist():
+                x, y = root(run[i][7]), root(run[j][7])
+                if x != y and len(np.intersect1d(sets[i], sets[j], assume_unique=True)) >= needed(len(sets[i]), len(sets[j])):
+                    parent[x] = y
+                    links.append(sorted((run[i][4], run[j][4])))
+        yield pa.RecordBatch.from_arrays([pa.array([link[c] for link in links], type=pa.int64()) for c in (0, 1)], names=["a", "b"])
 
 
 def groups_of(edges: DataFrame) -> DataFrame:
@@ -304,6 +367,34 @@ def groups_of(edges: DataFrame) -> DataFrame:
     return current.select(F.col("a").alias("set"), F.col("b").alias("label"))
 
 
+def _members_of(sets: DataFrame, first_rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """The sets (set, members) of the column ``set``, made again from their texts."""
+    wanted = sets.select("set").distinct().join(first_rows, "set").select("of_row")
+    # always by a shuffle, so that small inputs take the way of large ones
+    members = texts.join(wanted.hint("merge"), F.col("row") == F.col("of_row")).select("data").mapInArrow(_members, "set bigint, members binary")
+    return written(members, "near-members")
+
+
+def _linked_in_long_lists(rows: DataFrame, bits: DataFrame, first_rows: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """Links (a, b) that join the groups of each long list; ``rows`` has (key, set, n, need, label, blocks, block).
+
+    Every two blocks of a list meet once, by bitmaps; only sets that these leave come again with their members.
+    """
+    def together(df: DataFrame) -> DataFrame:
+        return df.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+
+    meeting = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(bits.select("set", "bits"), "set")
+    meeting = meeting.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "set", "n", "need", "label", "bits")
+    near = written(together(meeting).mapInArrow(_members_to_test, "key bigint, low int, high int, block int, set bigint, n int, need int, label bigint"), "near-rows")
+    if near.isEmpty():
+        return None
+    members = _members_of(near, first_rows, texts)
+    found = together(near.join(members, "set").select(*LONG, "members")).mapInArrow(_links_between_groups, "a bigint, b bigint")
+    found = written(found.distinct(), "near-links")
+    removed(members)
+    return found
+
+
 def _tested(pairs: DataFrame, bits: DataFrame, first_rows: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that link: by bitmaps first, then by the sets of the pairs that are left.
 
@@ -316,10 +407,7 @@ def _tested(pairs: DataFrame, bits: DataFrame, first_rows: DataFrame, texts: Dat
         return df.select("a", "b", *[f"{c}_{side}" for c in columns for side in ("a", "b")])
 
     near = written(two(pairs, bits, ["n", "bits"]).mapInArrow(_may_link, "a bigint, b bigint"), "near-pairs")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(first_rows, "set").select("of_row")
-    # always by a shuffle, so that small inputs take the way of large ones
-    members = texts.join(wanted.hint("merge"), F.col("row") == F.col("of_row")).select("data").mapInArrow(_members, "set bigint, members binary")
-    members = written(members, "near-members")
+    members = _members_of(near.select(F.explode(F.array("a", "b")).alias("set")), first_rows, texts)
     found = written(two(near, members, ["members"]).mapInArrow(_linked, "a bigint, b bigint").distinct(), "near-links")
     removed(members)
     return found
@@ -379,12 +467,12 @@ def near_groups(docs: DataFrame) -> DataFrame:
     open_lists = labelled.groupBy(F.col("key").alias("of_key")).agg(F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").drop("low", "high")
     live = labelled.join(open_lists, F.col("key") == F.col("of_key")).drop("of_key")
     live = live.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
-    long_rows = live.where(F.col("members") > LONG_LIST).join(bits.select("set", "bits"), "set")
-    short_rows = live.where(F.col("members") <= LONG_LIST).withColumn("bits", F.lit(None).cast("binary"))
-    meeting = long_rows.unionByName(short_rows).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    meeting = meeting.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "set", "n", "need", "label", "bits")
-    meeting = meeting.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    pairs = meeting.mapInArrow(_pairs_between_groups, "a bigint, b bigint").distinct()
+    links = _linked_in_long_lists(live.where(F.col("members") > LONG_LIST), bits, first_rows, bytes_of)
+    if links is not None:
+        labels = groups_of(labels.select(F.col("set").alias("a"), F.col("label").alias("b")).unionByName(links))
+        live = live.drop("label").join(labels, "set", "left").withColumn("label", F.coalesce("label", "set"))
+    short = live.where(F.col("members") <= LONG_LIST).select("key", "set", "n", "need", "label")
+    pairs = short.repartition("key").sortWithinPartitions("key").mapInArrow(_pairs_between_groups, "a bigint, b bigint").distinct()
     labels = groups_of(labels.select(F.col("set").alias("a"), F.col("label").alias("b")).unionByName(_tested(pairs, bits, first_rows, bytes_of)))
     return rows.join(labels, "set", "left").select("doc_id", "row", "n", "set", F.coalesce("label", "set").alias("label"))
 

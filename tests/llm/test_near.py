@@ -3,6 +3,7 @@ import re
 import string
 
 import numpy as np
+import pyarrow as pa
 
 from tenderline.llm import near, shingles
 
@@ -72,6 +73,36 @@ def test_the_exact_round_alone_and_in_blocks(spark, monkeypatch):
     check(spark, sample(random.Random(2), 110))
 
 
+def test_a_long_list_gives_fewer_links_than_members():
+    rng = np.random.default_rng(5)
+    common = rng.integers(0, 1 << 63, 90).astype(np.uint64)
+    sets = [np.unique(np.concatenate((common, rng.integers(0, 1 << 63, 4).astype(np.uint64)))) for _ in range(50)]
+    sets += [np.unique(rng.integers(0, 1 << 63, 94).astype(np.uint64)) for _ in range(10)]
+    names = list(range(100, 160))
+
+    def rows(last):
+        columns = [[7] * 60, [0] * 60, [0] * 60, [0] * 60, names, [len(s) for s in sets], [0] * 60, names, last]
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+        batch = pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], names=[*near.LONG, "last"])
+        return iter([batch.slice(0, 25), batch.slice(25)])
+
+    kept = [r for b in near._members_to_test(rows([near.bitmap(s) for s in sets])) for r in b.to_pylist()]
+    assert [r["set"] for r in kept] == names[:50]  # all of the group, nothing else
+    links = [(r["a"], r["b"]) for b in near._links_between_groups(rows([s.tobytes() for s in sets])) for r in b.to_pylist()]
+    assert len(links) == 49 and {x for link in links for x in link} == set(names[:50])
+
+
+def test_short_lists_that_go_on_in_the_next_batch(monkeypatch):
+    monkeypatch.setattr(near, "CHUNK_ROWS", 4)
+    rng = random.Random(6)
+    rows = sorted((rng.randrange(9), i, rng.choice((40, 50, 90)), 0, rng.randrange(12)) for i in range(70))
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names=["key", "set", "n", "need", "label"])
+    found = [tuple(r.values()) for b in near._pairs_between_groups(batch.slice(i, 3) for i in range(0, 70, 3)) for r in b.to_pylist()]
+    want = {(x[1], y[1]) for x in rows for y in rows if x[1] < y[1] and x[0] == y[0] and x[4] != y[4] and 4 * min(x[2], y[2]) >= 3 * max(x[2], y[2])}
+    assert set(found) == want
+
+
 def test_an_empty_table(spark):
     assert near.components(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
